@@ -1,0 +1,70 @@
+"""Left equi-join of many rows to a lookup, safe for any lookup size and any key skew.
+
+A lookup is broadcast only after its size was measured. A larger one is joined by
+shuffle, with the rows of every key spread over ``SALTS`` partitions, so a key that
+holds a third of all rows never lands in one task.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 16
+SALTS = 16
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A lookup frame and whether its measured size allows a broadcast."""
+
+    frame: DataFrame
+    small: bool
+
+    def renamed(self, name: str, new_name: str) -> Lookup:
+        return Lookup(self.frame.withColumnRenamed(name, new_name), self.small)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Approximate in-memory size of ``df``, summed on the executors."""
+    widths = [
+        F.coalesce(F.octet_length(field.name), F.lit(0))
+        if field.dataType.typeName() in ("string", "binary")
+        else F.lit(8)
+        for field in df.schema.fields
+    ]
+    row_bytes = reduce(add, widths, F.lit(ROW_OVERHEAD_BYTES)).cast("bigint")
+    return df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+
+
+def sized_lookup(frame: DataFrame, limit: int = BROADCAST_BYTES) -> Lookup:
+    """Measure a lookup. Pass a cheap frame: a table, or something materialised."""
+    return Lookup(frame, measured_bytes(frame) <= limit)
+
+
+def literal_lookup(frame: DataFrame) -> Lookup:
+    """A lookup whose rows are written in this package: small by construction."""
+    return Lookup(frame, True)
+
+
+def left_lookup(
+    rows: DataFrame, lookup: Lookup, key: Column, lookup_key: str, spread_by: tuple[str, ...]
+) -> DataFrame:
+    """``rows LEFT JOIN lookup ON key = lookup_key``; unmatched rows get NULLs.
+
+    ``spread_by`` names row columns that differ between rows of one key. The salt
+    is a hash of them, not random, so a task that runs again routes rows the same way.
+    """
+    if lookup.small:
+        return rows.join(F.broadcast(lookup.frame), key == F.col(lookup_key), "left")
+    salted_rows = rows.withColumn("_row_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
+    salted_lookup = lookup.frame.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    ).withColumn("_salt", F.col("_salt").cast("bigint"))
+    matches = (key == F.col(lookup_key)) & (F.col("_row_salt") == F.col("_salt"))
+    return salted_rows.join(salted_lookup, matches, "left").drop("_row_salt", "_salt")
