@@ -71,12 +71,12 @@ def zone_enrich_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zone_counts_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = windows.zone_names(fixtures.zone_lookup(spark, sf_dir))
-    return windows.zone_counts_backfill(fixtures.zone_events(spark, sf_dir), zones)
+    return windows.zone_counts(fixtures.zone_events(spark, sf_dir), zones)
 
 
 def zone_counts_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = windows.zone_names(fixtures.zone_lookup(spark, sf_dir))
-    return windows.zone_counts(fixtures.zone_events(spark, sf_dir), zones)
+    return windows.sliding_counts(fixtures.zone_events(spark, sf_dir), zones)
 
 
 def zone_counts_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

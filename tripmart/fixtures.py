@@ -20,7 +20,7 @@ ROLES = {
     "pickup_datetime": ("orders", "o_orderdate"),
     "dropoff_datetime": ("lineitem", "l_shipdate"),
     "store_and_fwd_flag": ("lineitem", "l_returnflag"),
-    "RatecodeID": ("lineitem", "round(l_tax * 100)"),
+    "RatecodeID": ("lineitem", "rint(l_tax * 100)"),
     "PULocationID": ("customer", "c_nationkey"),
     "DOLocationID": ("supplier", "s_nationkey"),
     "passenger_count": ("lineitem", "l_quantity"),
@@ -38,11 +38,35 @@ ROLES = {
     "full_name": ("customer", "c_name"),
 }
 ALL = tuple(SILVER_TYPES)
+
+# The driver's tables. Given to the scan, they save it the footer job
+# that finds the schema.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": (
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    ),
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+        "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+        "value DOUBLE, props STRING"
+    ),
+}
 SERVICE = "CASE l_linestatus WHEN 'F' THEN 'yellow' ELSE 'green' END"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bronze_trips(

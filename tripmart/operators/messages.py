@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions import bounded_distance, event_time_text, id_text
-from tripmart.schemas import EVENT_DDL
+from tripmart.schemas import EVENT_TYPES
 
 
 def encode_events(trips: DataFrame) -> DataFrame:
@@ -26,13 +26,23 @@ def encode_events(trips: DataFrame) -> DataFrame:
 
 
 def decode_json(messages: DataFrame, body: str, ddl: str, *keep: str) -> DataFrame:
-    """Fields of the JSON in ``body``; text that is not JSON gives NULL fields."""
-    parsed = messages.select(*keep, F.from_json(F.col(body).cast("string"), ddl).alias("d"))
-    return parsed.select(*keep, "d.*")
+    """Fields of the JSON in ``body``; text that is not JSON gives NULL fields.
 
+    The parsed struct goes through a one-element ``explode``: filters on its fields
+    then stay above the parse, where otherwise each would parse the text once more.
+    """
+    parsed = F.array(F.from_json(F.col(body).cast("string"), ddl))
+    return messages.select(*keep, F.explode(parsed).alias("d")).select(*keep, "d.*")
 
-def decode_events(messages: DataFrame) -> DataFrame:
+
+def decode_events(messages: DataFrame, *fields: str) -> DataFrame:
+    """Fields of each trip event message, all or only those named; others are not parsed."""
+    ddl = ", ".join(f"{name} {EVENT_TYPES[name]}" for name in fields or EVENT_TYPES)
+    return decode_json(messages, "value", ddl)
+
+
+def pickups(messages: DataFrame) -> DataFrame:
     """Pickup time and zone id of each trip event message."""
-    return decode_json(messages, "value", EVENT_DDL).select(
-        "tpep_pickup_datetime", F.col("PULocationID").try_cast("int").alias("PULocationID")
+    return decode_events(messages, "tpep_pickup_datetime", "PULocationID").withColumn(
+        "PULocationID", F.col("PULocationID").try_cast("int")
     )

@@ -33,9 +33,18 @@ def zone_enrich(
 
 
 def zone_counts(events: DataFrame, zones: DataFrame) -> DataFrame:
-    """Sliding counts in one aggregation, for streams and for batches.
+    """Trips per zone in every 15-minute window, one window every 5 minutes.
 
-    A stream may hold only this one stateful step in update mode.
+    Streams and batches give the same counts; each takes the cheaper of two plans
+    that it can run.
+    """
+    return sliding_counts(events, zones) if events.isStreaming else bucket_counts(events, zones)
+
+
+def sliding_counts(events: DataFrame, zones: DataFrame) -> DataFrame:
+    """Every event enters all its windows in one aggregation.
+
+    This is the plan of a stream, which may hold one stateful step in update mode.
     """
     sliding = F.window(EVENT_TIME, f"{WINDOW_MINUTES} minutes", f"{SLIDE_MINUTES} minutes")
     counted = zone_enrich(events, zones, EVENT_TIME).groupBy(sliding, "zone").count()
@@ -44,22 +53,20 @@ def zone_counts(events: DataFrame, zones: DataFrame) -> DataFrame:
     )
 
 
-def zone_counts_backfill(events: DataFrame, zones: DataFrame) -> DataFrame:
-    """The same counts for a batch, with each event aggregated once.
+def bucket_counts(events: DataFrame, zones: DataFrame) -> DataFrame:
+    """Every event is counted once, in its slide-long bucket of its zone id.
 
-    Events are first counted per slide-long bucket and zone id, where map-side
-    combining absorbs busy zones. Only those counts meet the zone names and are
-    copied into the windows that cover their bucket.
+    Map-side combining absorbs busy zones. Only the bucket counts meet the zone names
+    and are copied into the windows that cover their bucket, which needs a window to
+    be a whole number of slides.
     """
-    bucket = F.window(EVENT_TIME, f"{SLIDE_MINUTES} minutes")
+    bucket_start = F.window(EVENT_TIME, f"{SLIDE_MINUTES} minutes")["start"]
     per_bucket = (
-        events.groupBy(bucket.alias("bucket"), "PULocationID")
+        events.select(bucket_start.alias("bucket_start"), "PULocationID")
+        .groupBy("bucket_start", "PULocationID")
         .agg(F.count("*").alias("events"))
-        .select(F.col("bucket.start").alias("bucket_start"), "PULocationID", "events")
-    )
-    named = zone_enrich(
-        per_bucket, zones, "bucket_start", "events", spread_by=("bucket_start",)
     )
+    named = zone_enrich(per_bucket, zones, "bucket_start", "events", spread_by=("bucket_start",))
     starts = F.expr(
         f"sequence(bucket_start - INTERVAL {WINDOW_MINUTES - SLIDE_MINUTES} MINUTES, "
         f"bucket_start, INTERVAL {SLIDE_MINUTES} MINUTES)"

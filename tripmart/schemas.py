@@ -65,11 +65,17 @@ FACT_PARTITIONS = ("year", "month")
 ZONE_LOOKUP_DDL = "LocationID INT NOT NULL, Borough STRING, Zone STRING, service_zone STRING"
 
 # Trip event message (JSON object).
-EVENT_DDL = (
-    "VendorID STRING, tpep_pickup_datetime TIMESTAMP, passenger_count STRING, "
-    "trip_distance DOUBLE, RatecodeID STRING, store_and_fwd_flag STRING, "
-    "PULocationID STRING, DOLocationID STRING, phonenumber STRING"
-)
+EVENT_TYPES = {
+    "VendorID": "string",
+    "tpep_pickup_datetime": "timestamp",
+    "passenger_count": "string",
+    "trip_distance": "double",
+    "RatecodeID": "string",
+    "store_and_fwd_flag": "string",
+    "PULocationID": "string",
+    "DOLocationID": "string",
+    "phonenumber": "string",
+}
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Literal dimensions.

@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tripmart.operators.messages import decode_events
+from tripmart.operators.messages import pickups
 from tripmart.operators.zone_windows import EVENT_TIME, zone_counts, zone_names
 from tripmart.schemas import WATERMARK
 from tripmart.session import build_session
@@ -42,7 +42,7 @@ def message_stream(
 
 def stream_zone_counts(messages: DataFrame, zones: DataFrame) -> DataFrame:
     """Decode, bound the lateness, count. ``messages`` may also be a batch."""
-    events = decode_events(messages).withWatermark(EVENT_TIME, WATERMARK)
+    events = pickups(messages).withWatermark(EVENT_TIME, WATERMARK)
     return zone_counts(events, zones)
 
 
