@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from plan_text import plan_of
+from tripmart.operators.lookup import SALTS, left_lookup, measured_bytes, sized_lookup
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """9,000 rows: a third under one key, a third without a key, the rest spread."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 50)
+    return spark.range(9000).select(F.col("id").alias("row"), key.alias("key"))
+
+
+@pytest.fixture(scope="module")
+def lookup_frame(spark):
+    return spark.range(40).select(
+        F.col("id").alias("lookup_id"), F.concat(F.lit("n"), F.col("id")).alias("name")
+    )
+
+
+def as_counter(df):
+    return Counter((r["row"], r["key"], r["name"]) for r in df.collect())
+
+
+def test_salted_and_broadcast_joins_agree(spark, skewed, lookup_frame):
+    small = sized_lookup(lookup_frame)
+    large = sized_lookup(lookup_frame, limit=0)
+    assert (small.small, large.small) == (True, False)
+    joins = [
+        left_lookup(skewed, lookup, F.col("key"), "lookup_id", ("row",))
+        for lookup in (small, large)
+    ]
+    assert "BroadcastHashJoin" in plan_of(joins[0])
+    assert joins[0].columns == joins[1].columns
+    rows = as_counter(joins[0])
+    assert rows == as_counter(joins[1])
+    assert sum(rows.values()) == 9000
+    assert all((name is None) == (key is None or key >= 40) for _, key, name in rows)
+
+
+def test_duplicate_lookup_ids_multiply_rows_in_both_plans(spark, skewed, lookup_frame):
+    doubled = lookup_frame.union(lookup_frame)
+    joins = [
+        left_lookup(skewed, sized_lookup(doubled, limit), F.col("key"), "lookup_id", ("row",))
+        for limit in (1 << 20, 0)
+    ]
+    assert as_counter(joins[0]) == as_counter(joins[1])
+
+
+def test_salt_spreads_the_hot_key_and_rows_without_key(spark, skewed, lookup_frame):
+    """The join keys of the salted plan, counted: no (key, salt) holds a third of the rows."""
+    salted = skewed.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
+    largest = salted.groupBy("key", "salt").count().agg(F.max("count")).first()[0]
+    assert largest < 9000 / 3 / SALTS * 2
+
+
+def test_size_is_measured_from_rows_and_text(spark):
+    frame = spark.createDataFrame([(1, "abcd"), (2, None)], "id int, name string")
+    assert measured_bytes(frame) == 2 * (16 + 8) + 4
+    assert measured_bytes(frame.limit(0)) == 0
