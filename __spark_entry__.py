@@ -20,6 +20,7 @@ from tripmart.functions import bounded_distance, next_weekday  # noqa: E402
 from tripmart.operators import conform, dimensions, facts, profiles, reports  # noqa: E402
 from tripmart.operators import zone_windows as windows  # noqa: E402
 from tripmart.operators.messages import encode_events  # noqa: E402
+from tripmart.plans.profiles import destination_profile  # noqa: E402
 from tripmart.schemas import PAYMENT_TYPES, RATECODES, VENDORS  # noqa: E402
 from tripmart.session import materialise  # noqa: E402
 from tripmart.streaming.zone_counts import stream_zone_counts  # noqa: E402
@@ -173,10 +174,14 @@ def dim_customer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _star_dims(
-    spark: SparkSession, trips: DataFrame, zone_lookup: DataFrame, join_dates: bool = True
+    spark: SparkSession,
+    sf_dir: str,
+    trips: DataFrame,
+    zone_lookup: DataFrame,
+    join_dates: bool = True,
 ) -> facts.StarDims:
     return facts.StarDims(
-        date=materialise(dimensions.dim_date(trips)) if join_dates else None,
+        date=materialise(dim_date(spark, sf_dir)) if join_dates else None,
         location=dimensions.dim_location(zone_lookup),
         customer=dimensions.dim_customer(trips),
         vendor=dimensions.dim_vendor(spark),
@@ -187,20 +192,20 @@ def _star_dims(
 
 def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = fixtures.trips(spark, sf_dir)
-    dims = _star_dims(spark, trips, fixtures.zone_lookup(spark, sf_dir))
+    dims = _star_dims(spark, sf_dir, trips, fixtures.zone_lookup(spark, sf_dir))
     return facts.fact_trips(trips, dims, YEAR, MONTH)
 
 
 def fact_star_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = fixtures.trips(spark, sf_dir)
-    dims = _star_dims(spark, trips, fixtures.zone_lookup(spark, sf_dir))
+    dims = _star_dims(spark, sf_dir, trips, fixtures.zone_lookup(spark, sf_dir))
     return facts.fact_trips(trips, dims, YEAR, MONTH, broadcast_bytes=0)
 
 
 def fact_unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = fixtures.trips(spark, sf_dir)
     zones = fixtures.zone_lookup(spark, sf_dir, without_borough=UNKNOWN_BOROUGH)
-    fact = facts.fact_trips(trips, _star_dims(spark, trips, zones), YEAR, MONTH)
+    fact = facts.fact_trips(trips, _star_dims(spark, sf_dir, trips, zones), YEAR, MONTH)
     return facts.unmatched_keys(fact)
 
 
@@ -209,7 +214,7 @@ def fact_unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = fixtures.trips(spark, sf_dir, "payment_type", "fare_amount")
-    dims = _star_dims(spark, trips, fixtures.zone_lookup(spark, sf_dir), join_dates=False)
+    dims = _star_dims(spark, sf_dir, trips, fixtures.zone_lookup(spark, sf_dir), join_dates=False)
     return facts.fact_trips(trips, dims, YEAR, MONTH)
 
 
@@ -256,19 +261,8 @@ def od_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def od_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zones = _known_zone_ids(spark, sf_dir)
-    pairs = profiles.pair_weights(
-        fixtures.trips(spark, sf_dir, "PULocationID", "DOLocationID")
-    )
-    rows = profiles.normalise_rows(
-        profiles.known_zones(pairs, zones, "pickup_id", "dropoff_id")
-    )
-    dropoffs = profiles.known_zones(
-        profiles.zone_totals(pairs, "dropoff_id"), zones, "location_id"
-    )
-    return profiles.destination_share(
-        pairs.drop("weight"), rows, profiles.normalise(dropoffs)
-    )
+    trips = fixtures.trips(spark, sf_dir, "PULocationID", "DOLocationID")
+    return destination_profile(trips, _known_zone_ids(spark, sf_dir))
 
 
 def clamp_round(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -553,11 +547,11 @@ WITH own AS (SELECT pickup_id, dropoff_id,
 everywhere AS (SELECT dropoff_id, round(sum(weight) / sum(sum(weight)) OVER (), 6) AS share
   FROM ({_PAIRS}) AS p
   WHERE dropoff_id IN (SELECT location_id FROM ({_KNOWN_ZONES}) AS z) GROUP BY dropoff_id)
-SELECT p.pickup_id, p.dropoff_id, 'own' AS profile, coalesce(o.share, 0) AS share
+SELECT p.pickup_id, p.dropoff_id, p.weight, 'own' AS profile, coalesce(o.share, 0) AS share
 FROM ({_PAIRS}) AS p LEFT JOIN own AS o USING (pickup_id, dropoff_id)
 WHERE p.pickup_id IN (SELECT pickup_id FROM own)
 UNION ALL
-SELECT p.pickup_id, p.dropoff_id, 'global' AS profile, coalesce(e.share, 0) AS share
+SELECT p.pickup_id, p.dropoff_id, p.weight, 'global' AS profile, coalesce(e.share, 0) AS share
 FROM ({_PAIRS}) AS p LEFT JOIN everywhere AS e USING (dropoff_id)
 WHERE p.pickup_id NOT IN (SELECT pickup_id FROM own)
 """,

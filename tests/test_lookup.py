@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from plan_text import plan_of
-from tripmart.operators.lookup import SALTS, left_lookup, measured_bytes, sized_lookup
+from tripmart.operators.lookup import left_lookup, measured_bytes, sized_lookup
+from tripmart.operators.skew import hot_keys, salt_lookup, salt_rows
 
 
 @pytest.fixture(scope="module")
@@ -53,10 +54,26 @@ def test_duplicate_lookup_ids_multiply_rows_in_both_plans(spark, skewed, lookup_
 
 
 def test_salt_spreads_the_hot_key_and_rows_without_key(spark, skewed, lookup_frame):
-    """The join keys of the salted plan, counted: no (key, salt) holds a third of the rows."""
-    salted = skewed.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
-    largest = salted.groupBy("key", "salt").count().agg(F.max("count")).first()[0]
-    assert largest < 9000 / 3 / SALTS * 2
+    """No (key, salt) group holds much more than the rows of one shuffle partition."""
+    key = F.col("key")
+    hot = hot_keys(skewed, key)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = {r["hot_key"]: r["salts"] for r in hot.collect()}
+    assert set(salts) == {7, None}
+    assert sum(salts.values()) < 2 * partitions
+    salted = salt_rows(skewed, key, ("row",), hot)
+    largest = salted.groupBy("key", "row_salt").count().agg(F.max("count")).first()[0]
+    assert largest < 9000 / partitions * 1.2
+    copies = salt_lookup(lookup_frame, "lookup_id", hot).groupBy("lookup_id").count()
+    assert {r[0]: r[1] for r in copies.collect()} == {i: salts.get(i, 1) for i in range(40)}
+
+
+def test_plan_of_a_large_lookup_has_no_nested_loop(spark, skewed, lookup_frame):
+    joined = left_lookup(
+        skewed, sized_lookup(lookup_frame, 0), F.col("key"), "lookup_id", ("row",)
+    )
+    plan = plan_of(joined)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_size_is_measured_from_rows_and_text(spark):

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 from tripmart.operators import profiles
+from tripmart.plans.profiles import destination_profile
 
 KNOWN = {1, 2, 3, 4}
 
@@ -43,12 +44,7 @@ def test_pickup_shares(frames, pairs_seen):
 
 def test_destination_falls_back_to_global_shares(frames, pairs_seen):
     trips, zones = frames
-    pairs = profiles.pair_weights(trips)
-    own = profiles.normalise_rows(profiles.known_zones(pairs, zones, "pickup_id", "dropoff_id"))
-    everywhere = profiles.normalise(
-        profiles.known_zones(profiles.zone_totals(pairs, "dropoff_id"), zones, "location_id")
-    )
-    rows = profiles.destination_share(pairs.drop("weight"), own, everywhere).collect()
+    rows = destination_profile(trips, zones).collect()
 
     seen = Counter(pairs_seen)
     own_total, global_count = Counter(), Counter()
@@ -67,4 +63,5 @@ def test_destination_falls_back_to_global_shares(frames, pairs_seen):
             expected[pickup, dropoff] = ("global", round(share, 6))
     got = {(r["pickup_id"], r["dropoff_id"]): (r["profile"], r["share"]) for r in rows}
     assert got == expected
+    assert {(r["pickup_id"], r["dropoff_id"]): r["weight"] for r in rows} == seen
     assert {profile for profile, _ in got.values()} == {"own", "global"}

@@ -81,7 +81,7 @@ def fact_trips(
         date = sized_lookup(dims.date.select("date"), broadcast_bytes)
         roles += [(date.renamed("date", role), day, role) for role, day in dates.items()]
     for lookup, value, lookup_key in roles:
-        keyed = left_lookup(keyed, lookup, value, lookup_key, SPREAD_BY)
+        keyed = left_lookup(keyed, lookup, value, lookup_key, SPREAD_BY, counted=trips)
 
     # One row per phone: the join keeps every trip once, and the optimizer, seeing
     # that, drops it with the customer scan and its shuffle.

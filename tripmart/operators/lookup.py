@@ -1,8 +1,8 @@
 """Left equi-join of many rows to a lookup, safe for any lookup size and any key skew.
 
 A lookup is broadcast only after its size was measured. A larger one is joined by
-shuffle, with the rows of every key spread over ``SALTS`` partitions, so a key that
-holds a third of all rows never lands in one task.
+shuffle, with the rows of hot keys salted, so a key that holds a third of all rows
+never lands in one task.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.operators.skew import hot_keys, salt_lookup, salt_rows
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 16
-SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -53,18 +54,23 @@ def literal_lookup(frame: DataFrame) -> Lookup:
 
 
 def left_lookup(
-    rows: DataFrame, lookup: Lookup, key: Column, lookup_key: str, spread_by: tuple[str, ...]
+    rows: DataFrame,
+    lookup: Lookup,
+    key: Column,
+    lookup_key: str,
+    spread_by: tuple[str, ...],
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``rows LEFT JOIN lookup ON key = lookup_key``; unmatched rows get NULLs.
 
-    ``spread_by`` names row columns that differ between rows of one key. The salt
-    is a hash of them, not random, so a task that runs again routes rows the same way.
+    ``spread_by`` names row columns that differ between the rows of one key.
+    ``counted`` is a cheaper frame with the same keys to count hot ones in; by default
+    ``rows`` itself. Rows of a stream are not counted, all their keys are salted.
     """
     if lookup.small:
         return rows.join(F.broadcast(lookup.frame), key == F.col(lookup_key), "left")
-    salted_rows = rows.withColumn("_row_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
-    salted_lookup = lookup.frame.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    ).withColumn("_salt", F.col("_salt").cast("bigint"))
-    matches = (key == F.col(lookup_key)) & (F.col("_row_salt") == F.col("_salt"))
-    return salted_rows.join(salted_lookup, matches, "left").drop("_row_salt", "_salt")
+    hot = None if rows.isStreaming else hot_keys(rows if counted is None else counted, key)
+    salted_rows = salt_rows(rows, key, spread_by, hot)
+    salted_lookup = salt_lookup(lookup.frame, lookup_key, hot)
+    matches = (key == F.col(lookup_key)) & (F.col("row_salt") == F.col("lookup_salt"))
+    return salted_rows.join(salted_lookup, matches, "left").drop("row_salt", "lookup_salt")

@@ -76,6 +76,7 @@ def destination_share(
         .select(
             "pickup_id",
             "dropoff_id",
+            "weight",
             F.when(has_row, "own").otherwise("global").alias("profile"),
             F.coalesce(share, F.lit(0.0)).alias("share"),
         )

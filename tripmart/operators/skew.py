@@ -1,0 +1,48 @@
+"""Salts that split the rows of a hot key over many partitions.
+
+A key is hot when it holds more rows than a fair share, the rows of one shuffle
+partition. It gets one salt per fair share, so no (key, salt) group exceeds a share.
+With ``P`` partitions there are fewer than ``P`` hot keys with fewer than ``2 P`` salts
+in all: small enough to broadcast and to copy the other side for, whatever the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Salts of every key of a stream, whose rows cannot be counted beforehand.
+STREAM_SALTS = 16
+
+
+def hot_keys(rows: DataFrame, key: Column) -> DataFrame:
+    """Keys above a fair share of ``rows`` and their salts: ``hot_key, salts``."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy(key.alias("hot_key")).agg(F.count("*").alias("rows"))
+    fair_share = counts.agg(F.sum("rows")).scalar() / F.lit(partitions)
+    shares = counts.withColumn("salts", F.ceil(F.col("rows") / fair_share))
+    return shares.filter(F.col("salts") > 1).select("hot_key", "salts")
+
+
+def salt_rows(
+    rows: DataFrame, key: Column, spread_by: tuple[str, ...], hot: DataFrame | None
+) -> DataFrame:
+    """Add ``row_salt``, a hash of ``spread_by``: a task that runs again salts alike."""
+    spread = F.xxhash64(*spread_by)
+    if hot is None:
+        return rows.withColumn("row_salt", F.pmod(spread, F.lit(STREAM_SALTS)))
+    salted = rows.join(F.broadcast(hot), key.eqNullSafe(F.col("hot_key")), "left")
+    salt = F.pmod(spread, F.coalesce("salts", F.lit(1)))
+    return salted.withColumn("row_salt", salt).drop("hot_key", "salts")
+
+
+def salt_lookup(lookup: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Copy each lookup row once per salt of its key, as ``lookup_salt``."""
+    if hot is None:
+        last = F.lit(STREAM_SALTS - 1).cast("bigint")
+        return lookup.withColumn("lookup_salt", F.explode(F.sequence(F.lit(0), last)))
+    copied = lookup.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("hot_key")), "left")
+    last = F.coalesce("salts", F.lit(1)) - 1
+    return copied.withColumn("lookup_salt", F.explode(F.sequence(F.lit(0), last))).drop(
+        "hot_key", "salts"
+    )
