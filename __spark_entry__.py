@@ -127,10 +127,9 @@ def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _with_trip_count(dim: DataFrame, trips: DataFrame, dim_key: str, column: str) -> DataFrame:
     """Literal dimension with the trips of each row: its use of the whole trip table."""
     used = trips.groupBy(F.col(column).alias("used")).agg(F.count("*").alias("trips"))
-    return (
-        used.join(F.broadcast(dim), F.col("used") == F.col(dim_key), "right")
-        .withColumn("trip_count", F.coalesce("trips", F.lit(0)))
-        .drop("used", "trips")
+    counted = dim.join(used, F.col(dim_key) == F.col("used"), "left")
+    return counted.select("*", F.coalesce("trips", F.lit(0)).alias("trip_count")).drop(
+        "used", "trips"
     )
 
 

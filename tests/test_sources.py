@@ -3,10 +3,13 @@ from __future__ import annotations
 import pytest
 from pyspark.errors import AnalysisException
 
+from rows import raw_trips
 from tripmart.operators import profiles
 from tripmart.sources import files
 from tripmart.sources.paths import LakePaths
-from tripmart.sources.sinks import append_new, overwrite_partitions
+from tripmart.operators.conform import silver_trips
+from tripmart.operators.messages import decode_events, encode_events
+from tripmart.sources.sinks import append_new, overwrite_partitions, publish
 
 ZONES = """LocationID,Borough,Zone,service_zone
 1,EWR,Newark Airport,EWR
@@ -59,7 +62,8 @@ def test_profiles_from_csv(spark, zones_csv, tmp_path):
         (2, 1): None,
         (2, 2): 1.0,
     }
-    assert [r[0] for r in files.read_phone_numbers(spark, str(tmp_path / "customers.csv")).collect()] == ["555"]
+    phones = files.read_phone_numbers(spark, str(tmp_path / "customers.csv"))
+    assert [r["phonenumber"] for r in phones.collect()] == ["555"]
 
 
 def test_only_a_missing_path_is_tolerated(spark, tmp_path):
@@ -95,3 +99,11 @@ def test_partition_overwrite_leaves_other_months(spark, tmp_path):
         overwrite_partitions(frame, path)
     counts = spark.read.parquet(path).groupBy("month").count().collect()
     assert {tuple(r) for r in counts} == {(1, 3), (2, 4)}
+
+
+def test_published_messages_can_be_decoded(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    trips = silver_trips(raw_trips(spark, {}, {"PULocationID": None}), "yellow")
+    publish(encode_events(trips), "text", {"path": path})
+    decoded = decode_events(spark.read.text(path)).collect()
+    assert sorted(str(r["PULocationID"]) for r in decoded) == ["1", "None"]

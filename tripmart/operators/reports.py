@@ -18,7 +18,7 @@ def payment_mix(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
         F.count("*").alias("trip_count"), money_sum(F.col("fare_amount")).alias("fare_total")
     )
     total = F.sum("trip_count").over(Window.partitionBy())
-    return per_type.join(F.broadcast(payment_types), "payment_type_id", "left").select(
+    return per_type.join(payment_types, "payment_type_id", "left").select(
         "payment_type_id",
         "payment_type_description",
         "trip_count",

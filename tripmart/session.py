@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,14 +29,21 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        configured = context.getConf().get("spark.checkpoint.dir")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tripmart-checkpoint-"))
+    return context.getCheckpointDir()
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage, on reliable storage.
+    """Compute ``df`` once, into a table in the shared folder, and read it from there.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only where that is
-    unset, as in local tests, a temporary one is used.
+    Losing executors cannot lose it, later steps do not compute it again, and its
+    size is known to the planner.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tripmart-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,11 @@ def overwrite_partitions(
     )
 
 
+def publish(messages: DataFrame, sink_format: str, options: Mapping[str, str]) -> None:
+    """Send messages with a ``value`` column to a message sink, such as a Kafka topic."""
+    messages.write.format(sink_format).options(**options).mode("append").save()
+
+
 def create_fact_table(spark: SparkSession, table: str, fact: DataFrame, location: str) -> None:
     """External partitioned table over the fact files, if it is not there yet."""
     columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in fact.schema)
