@@ -235,8 +235,11 @@ def test_plan_parses_each_message_once_and_broadcasts_zones(spark, feed, zones):
 
 
 def test_kafka_subscription_options():
-    assert kafka_options("host:1", "trips") == {
+    options = {
         "kafka.bootstrap.servers": "host:1",
         "subscribe": "trips",
         "startingOffsets": "latest",
     }
+    assert kafka_options("host:1", "trips") == options
+    bounded = kafka_options("host:1", "trips", max_offsets_per_trigger=500)
+    assert bounded == options | {"maxOffsetsPerTrigger": "500"}

@@ -1,9 +1,10 @@
 """Salts that split the rows of a hot key over many partitions.
 
-A key is hot when it holds more rows than a fair share, the rows of one shuffle
-partition. It gets one salt per fair share, so no (key, salt) group exceeds a share.
-With ``P`` partitions there are fewer than ``P`` hot keys with fewer than ``2 P`` salts
-in all: small enough to broadcast and to copy the other side for, whatever the data.
+A key is hot when it holds more rows than a quarter of a fair share, the rows of one
+shuffle partition. It gets one salt per such chunk, which leaves chunks small enough to
+balance when several meet in a partition. With ``P`` partitions there are fewer than
+``4 P`` hot keys with fewer than ``8 P`` salts in all: small enough to broadcast and to
+copy the other side for, whatever the data.
 """
 
 from __future__ import annotations
@@ -11,17 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+CHUNKS_PER_SHARE = 4
 # Salts of every key of a stream, whose rows cannot be counted beforehand.
 STREAM_SALTS = 16
 
 
 def hot_keys(rows: DataFrame, key: Column) -> DataFrame:
-    """Keys above a fair share of ``rows`` and their salts: ``hot_key, salts``."""
+    """Hot keys of ``rows`` and their numbers of salts: ``hot_key, salts``."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = rows.groupBy(key.alias("hot_key")).agg(F.count("*").alias("rows"))
-    fair_share = counts.agg(F.sum("rows")).scalar() / F.lit(partitions)
-    shares = counts.withColumn("salts", F.ceil(F.col("rows") / fair_share))
-    return shares.filter(F.col("salts") > 1).select("hot_key", "salts")
+    chunk = counts.agg(F.sum("rows")).scalar() / F.lit(CHUNKS_PER_SHARE * partitions)
+    salted = counts.withColumn("salts", F.ceil(F.col("rows") / chunk))
+    return salted.filter(F.col("salts") > 1).select("hot_key", "salts")
 
 
 def salt_rows(

@@ -24,13 +24,21 @@ from tripmart.sources.files import read_zone_lookup
 from tripmart.streaming.upserts import BatchWriter, keyed_store, parquet_upserts
 
 
-def kafka_options(bootstrap: str, topic: str, starting_offsets: str = "latest") -> dict[str, str]:
-    """Subscription to one topic."""
-    return {
+def kafka_options(
+    bootstrap: str,
+    topic: str,
+    starting_offsets: str = "latest",
+    max_offsets_per_trigger: int | None = None,
+) -> dict[str, str]:
+    """Subscription to one topic; the maximum bounds the batch after a long stop."""
+    options = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
     }
+    if max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return options
 
 
 def message_stream(
@@ -73,6 +81,7 @@ def main() -> None:
     parser.add_argument("--zones", required=True, help="zone lookup CSV")
     parser.add_argument("--checkpoint", required=True, help="shared folder for offsets and state")
     parser.add_argument("--topic", default="taxi-stream")
+    parser.add_argument("--max-offsets", type=int, help="most messages in one batch")
     parser.add_argument("--parquet-sink", help="write here instead of to the keyed store")
     arguments = parser.parse_args()
 
@@ -86,7 +95,10 @@ def main() -> None:
         ),
     )
     bootstrap = os.getenv("KAFKA_BOOTSTRAP", "kafka1:19092")
-    messages = message_stream(spark, "kafka", kafka_options(bootstrap, arguments.topic))
+    options = kafka_options(
+        bootstrap, arguments.topic, max_offsets_per_trigger=arguments.max_offsets
+    )
+    messages = message_stream(spark, "kafka", options)
     zones = zone_names(read_zone_lookup(spark, arguments.zones))
     sink = (
         parquet_upserts(arguments.parquet_sink)
