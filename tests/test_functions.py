@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import functions as F
 
 from rows import raw_trips
-from tripmart.functions import bounded_distance, money_sum, next_weekday
+from tripmart.functions import bounded_distance, money_sum, next_weekday, whole_number
 from tripmart.operators import conform, messages
 from tripmart.schemas import EVENT_TYPES
 
@@ -26,6 +26,14 @@ def test_distance_is_bounded_and_rounded(spark):
     assert values == [0.1, 0.1, 2.35, 50.0]
 
 
+def test_text_becomes_a_whole_number(spark):
+    texts = {"7": 7, " 7 ": 7, "2.0": 2, "5.": 5, "-3.9": -3, "+4": 4, "abc": None, "1.x": None}
+    texts |= {"": None, "1e3": None, "9" * 30: None, None: None}
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = frame.withColumn("n", whole_number(F.col("t"), "bigint")).collect()
+    assert {r["t"]: r["n"] for r in rows} == texts
+
+
 def test_money_does_not_depend_on_order(spark):
     frame = spark.createDataFrame([(0.1,)] * 10 + [(1e9,), (-1e9,)], "x double")
     assert frame.agg(money_sum(F.col("x"))).first()[0] == 1.0

@@ -6,6 +6,14 @@ from tripmart.functions.scalars import (
     id_text,
     money_sum,
     next_weekday,
+    whole_number,
 )
 
-__all__ = ["bounded_distance", "event_time_text", "id_text", "money_sum", "next_weekday"]
+__all__ = [
+    "bounded_distance",
+    "event_time_text",
+    "id_text",
+    "money_sum",
+    "next_weekday",
+    "whole_number",
+]

@@ -24,6 +24,12 @@ def id_text(identifier: Column) -> Column:
     return identifier.cast("bigint").cast("string")
 
 
+def whole_number(text: Column, sql_type: str) -> Column:
+    """Text as an integer: a decimal part is cut off, text that is no number is NULL."""
+    whole = F.regexp_replace(text, r"^(\s*[+-]?\d+)\.\d*\s*$", "$1")
+    return F.coalesce(text.try_cast(sql_type), whole.try_cast(sql_type))
+
+
 def next_weekday(date: Column, weekday: int | Column) -> Column:
     """First date on or after ``date`` that falls on ``weekday`` (0 = Monday)."""
     target = F.lit(weekday) if isinstance(weekday, int) else weekday

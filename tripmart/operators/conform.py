@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.functions import whole_number
 from tripmart.schemas import REQUIRED_COLUMNS, SILVER_TYPES, TIME_COLUMNS, TIME_PREFIXES
 
 
@@ -27,11 +28,18 @@ def conform(raw: DataFrame, *extra: Column) -> DataFrame:
 
     ``extra`` columns are appended as they are. A missing column is an error.
     """
-    silver = [
-        F.col(name) if sql_type is None else F.col(name).try_cast(sql_type).alias(name)
-        for name, sql_type in SILVER_TYPES.items()
-    ]
-    return unify_time_names(raw).select(*silver, *extra)
+    named = unify_time_names(raw)
+    texts = {name for name, source_type in named.dtypes if source_type == "string"}
+
+    def typed(name: str, sql_type: str | None) -> Column:
+        column = F.col(name)
+        if sql_type is None:
+            return column
+        if sql_type == "bigint" and name in texts:
+            return whole_number(column, sql_type).alias(name)
+        return column.try_cast(sql_type).alias(name)
+
+    return named.select(*[typed(*contract) for contract in SILVER_TYPES.items()], *extra)
 
 
 def _present(df: DataFrame, name: str) -> Column:

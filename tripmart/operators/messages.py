@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions import bounded_distance, event_time_text, id_text
+from tripmart.functions import bounded_distance, event_time_text, id_text, whole_number
 from tripmart.schemas import EVENT_TYPES
 
 
@@ -44,5 +44,5 @@ def decode_events(messages: DataFrame, *fields: str) -> DataFrame:
 def pickups(messages: DataFrame) -> DataFrame:
     """Pickup time and zone id of each trip event message."""
     return decode_events(messages, "tpep_pickup_datetime", "PULocationID").withColumn(
-        "PULocationID", F.col("PULocationID").try_cast("int")
+        "PULocationID", whole_number(F.col("PULocationID"), "int")
     )
