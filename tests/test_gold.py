@@ -10,6 +10,7 @@ import pytest
 from rows import TRIP, raw_trips, zone_lookup
 from tripmart.plans import reports
 from tripmart.plans.gold import build_gold
+from tripmart.plans.month import build_month
 from tripmart.plans.silver import build_silver
 from tripmart.sources.paths import LakePaths
 from tripmart.sources.versions import committed_versions, read_current, write_next
@@ -83,6 +84,15 @@ def test_two_months_and_a_second_run(spark, lake, persist_silver):
     assert {tuple(r) for r in months.collect()} == {(2025, 1, 2), (2025, 2, 3)}
 
 
+def test_month_that_lost_its_trips_is_emptied(spark, lake):
+    run_month(spark, lake, 2025, 1)
+    run_month(spark, lake, 2025, 2)
+    land_month(spark, lake, 2025, 2, {"trip_distance": 0.0})
+    run_month(spark, lake, 2025, 2)
+    months = spark.read.parquet(lake.gold("fact_trips")).groupBy("year", "month").count()
+    assert {tuple(r) for r in months.collect()} == {(2025, 1, 2)}
+
+
 def test_catalog_lists_each_month_once(spark, lake):
     spark.sql("DROP TABLE IF EXISTS fact_trips")
     for month in (1, 2, 2):
@@ -92,6 +102,16 @@ def test_catalog_lists_each_month_once(spark, lake):
     spark.sql("DROP TABLE fact_trips")
 
 
+def test_month_job_uses_the_lookup_of_the_lake(spark, lake):
+    target = Path(lake.zone_lookup)
+    target.parent.mkdir(parents=True)
+    target.write_text("LocationID,Borough,Zone,service_zone\n1,Manhattan,Midtown,Yellow Zone\n")
+    result = build_month(spark, lake, 2025, 1)
+    assert (result.services, result.missing) == (("yellow",), ("green",))
+    row = spark.read.parquet(lake.gold("fact_trips")).first()
+    assert (row["pickup_location_id"], row["dropoff_location_id"]) == (1, None)
+
+
 def test_reports_read_the_stored_star(spark, lake):
     run_month(spark, lake, 2025, 1)
     run_month(spark, lake, 2025, 2)

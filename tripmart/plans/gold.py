@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.operators import dimensions
 from tripmart.operators.facts import StarDims, fact_trips
 from tripmart.plans.arguments import month_arguments
+from tripmart.schemas import FACT_PARTITIONS
 from tripmart.session import build_session
 from tripmart.sources.files import read_silver, read_zone_lookup
 from tripmart.sources.paths import LakePaths
@@ -61,19 +62,32 @@ def build_gold(
     executors' memory and its storage is slow.
     """
     trips = read_silver(spark, paths, year, month)
-    if persist_silver:
-        trips = trips.persist(StorageLevel.MEMORY_AND_DISK)
     if zone_lookup is None:
         zone_lookup = read_zone_lookup(spark, paths.zone_lookup)
-
-    dims = store_dimensions(spark, paths, trips, zone_lookup)
-    fact = fact_trips(trips, dims, year, month)
-    overwrite_partitions(fact, paths.gold("fact_trips"))
+    if persist_silver:
+        trips.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        dims = store_dimensions(spark, paths, trips, zone_lookup)
+        fact = fact_trips(trips, dims, year, month)
+        store_month(fact, paths, year, month)
+    finally:
+        if persist_silver:
+            trips.unpersist()
     if table:
         create_fact_table(spark, table, fact, paths.gold("fact_trips"))
         register_month(spark, table, year, month, paths.fact_partition(year, month))
-    if persist_silver:
-        trips.unpersist()
+
+
+def store_month(fact: DataFrame, paths: LakePaths, year: int, month: int) -> None:
+    """Replace the month's fact partition and leave all others.
+
+    A month without trips has no row to name its partition, so that one is emptied
+    by path.
+    """
+    if fact.isEmpty():
+        overwrite(fact.drop(*FACT_PARTITIONS), paths.fact_partition(year, month))
+    else:
+        overwrite_partitions(fact, paths.gold("fact_trips"))
 
 
 def main() -> None:

@@ -13,18 +13,25 @@ from tripmart.sources.files import read_if_exists
 PREFIX = "version="
 
 
-def committed_versions(spark: SparkSession, path: str, prefix: str = PREFIX) -> list[int]:
-    """Numbers of the committed versions under ``path``, in order."""
+def committed_versions(
+    spark: SparkSession, path: str, prefix: str = PREFIX, above: int = -1
+) -> list[int]:
+    """Numbers of the committed versions under ``path`` greater than ``above``, in order."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     root = hadoop.Path(path)
     files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(root):
         return []
     folders = [status.getPath() for status in files.listStatus(root) if status.isDirectory()]
-    return sorted(
-        int(folder.getName().removeprefix(prefix))
+    versions = {
+        int(folder.getName().removeprefix(prefix)): folder
         for folder in folders
-        if folder.getName().startswith(prefix) and files.exists(hadoop.Path(folder, "_SUCCESS"))
+        if folder.getName().startswith(prefix)
+    }
+    return sorted(
+        number
+        for number, folder in versions.items()
+        if number > above and files.exists(hadoop.Path(folder, "_SUCCESS"))
     )
 
 

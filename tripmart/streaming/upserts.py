@@ -53,8 +53,8 @@ def _versioned_counts(
     covered = snapshots[-1] if snapshots else -1
     batches = [
         number
-        for number in committed_versions(spark, f"{path}/batches", BATCH)
-        if number > covered and (upto is None or number <= upto)
+        for number in committed_versions(spark, f"{path}/batches", BATCH, above=covered)
+        if upto is None or number <= upto
     ]
     frames = []
     if snapshots:
@@ -87,9 +87,10 @@ def compact_zone_counts(spark: SparkSession, path: str) -> int | None:
     The newest batch may still be delivered again, so it stays out. Folders that a
     snapshot covers are not read any more and may be deleted by the operator.
     """
-    batches = committed_versions(spark, f"{path}/batches", BATCH)
     snapshots = committed_versions(spark, f"{path}/snapshots", SNAPSHOT)
-    if len(batches) < 2 or (snapshots and batches[-2] <= snapshots[-1]):
+    covered = snapshots[-1] if snapshots else -1
+    batches = committed_versions(spark, f"{path}/batches", BATCH, above=covered)
+    if len(batches) < 2:
         return None
     upto = batches[-2]
     counts = _latest(_versioned_counts(spark, path, upto))
