@@ -4,22 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.schemas import SERVICES, ZONE_LOOKUP_DDL
 from tripmart.sources.paths import LakePaths
+from tripmart.sources.storage import path_exists
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """Parquet at ``path``, or None when the path is missing. Other errors surface."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def read_bronze(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.sources.files import read_if_exists
+from tripmart.sources.storage import folder_names, path_exists
 
 PREFIX = "version="
 
@@ -17,21 +18,15 @@ def committed_versions(
     spark: SparkSession, path: str, prefix: str = PREFIX, above: int = -1
 ) -> list[int]:
     """Numbers of the committed versions under ``path`` greater than ``above``, in order."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return []
-    folders = [status.getPath() for status in files.listStatus(root) if status.isDirectory()]
-    versions = {
-        int(folder.getName().removeprefix(prefix)): folder
-        for folder in folders
-        if folder.getName().startswith(prefix)
-    }
+    numbers = (
+        int(name.removeprefix(prefix))
+        for name in folder_names(spark, path)
+        if name.startswith(prefix)
+    )
     return sorted(
         number
-        for number, folder in versions.items()
-        if number > above and files.exists(hadoop.Path(folder, "_SUCCESS"))
+        for number in numbers
+        if number > above and path_exists(spark, f"{path}/{prefix}{number}/_SUCCESS")
     )
 
 
