@@ -6,6 +6,7 @@ trip roles; the SQL below states the same roles on its own.
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -25,6 +26,16 @@ from tripmart.schemas import PAYMENT_TYPES, RATECODES, VENDORS  # noqa: E402
 from tripmart.session import materialise  # noqa: E402
 from tripmart.streaming.zone_counts import stream_zone_counts  # noqa: E402
 
+# The corpus operators are an optional part: a subpackage and the pipeline over it.
+if importlib.util.find_spec("tripmart.llm"):
+    from tripmart.llm import queries as corpus  # noqa: E402
+else:
+    corpus = None
+if corpus and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline  # noqa: E402
+else:
+    corpus_pipeline = None
+
 YEAR, MONTH = 2025, 1
 UNKNOWN_BOROUGH = "EUROPE"
 KNOWN_SEGMENT = "BUILDING"
@@ -312,7 +323,12 @@ def queries() -> dict[str, Query]:
         "clamp_round": clamp_round,
         "next_weekday": next_weekday_of,
     }
-    return {name: _with_plain_times(query) for name, query in named.items()}
+    timed = {name: _with_plain_times(query) for name, query in named.items()}
+    if corpus:
+        timed |= corpus.queries()
+    if corpus_pipeline:
+        timed["pipeline"] = corpus_pipeline.run
+    return timed
 
 
 def _with_plain_times(query: Query) -> Query:
@@ -466,7 +482,10 @@ def oracle_sql() -> dict[str, str]:
     fact = _fact(_ZONES)
     dropped = ("pickup_datetime", "dropoff_datetime", "mta_tax")
     required = " AND ".join(f"{name} IS NOT NULL" for name in dropped)
-    return {
+    optional = corpus.oracle_sql() if corpus else {}
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        optional["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return optional | {
         "events_parse_json": f"SELECT event_id, k FROM ({_PARSED}) AS e",
         "zone_enrich": _ENRICHED,
         "zone_enrich_salted": _ENRICHED,
