@@ -75,13 +75,10 @@ def base_rules(docs: DataFrame) -> DataFrame:
         ),
         lambda acc: acc["n"],
     )
-    return placed.drop("windows", "ordered", "hashes").withColumn(
-        "n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")
-    ).withColumn(
-        "base_failed",
-        (F.col("n_words") < MIN_WORDS)
-        | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
-    )
+    ruled = placed.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
+    few = F.col("n_words") < MIN_WORDS
+    repeated = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
+    return ruled.withColumn("base_failed", few | repeated).drop("hashes", "windows", "ordered")
 
 
 def _grams(texts: DataFrame, *keep: str, buckets: int) -> DataFrame:
