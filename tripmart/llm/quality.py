@@ -97,7 +97,8 @@ def _grams(texts: DataFrame, *keep: str, buckets: int) -> DataFrame:
 
 
 def _counts(texts: DataFrame, buckets: int) -> DataFrame:
-    grams = _grams(texts, buckets=buckets).select(F.explode("grams").alias("slot"))
+    # A plain explode would also filter on the array's size, evaluating it twice.
+    grams = _grams(texts, buckets=buckets).select(F.explode_outer("grams").alias("slot"))
     return grams.groupBy("slot").agg(F.count("*").alias("n"))
 
 
