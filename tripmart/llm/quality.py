@@ -81,24 +81,27 @@ def base_rules(docs: DataFrame) -> DataFrame:
     return ruled.withColumn("base_failed", few | repeated).drop("hashes", "windows", "ordered")
 
 
-def _grams(texts: DataFrame, *keep: str, buckets: int) -> DataFrame:
-    """``keep`` and ``grams``, the hashed tokens and token pairs of ``text``."""
+def _hashed_tokens(texts: DataFrame, *keep: str, buckets: int) -> DataFrame:
+    """``keep`` and ``hashes``, the buckets of the tokens of ``text`` in order."""
     token_list = F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))
     tokens = texts.select(*keep, token_list.alias("tokens"))
-    hashed = F.transform("tokens", lambda token: F.xxhash64(token))
-    hashes = tokens.select(*keep, hashed.alias("hashes"))
-    single = F.transform("hashes", lambda h: F.pmod(h, F.lit(buckets)))
+    bucket = F.transform("tokens", lambda t: F.pmod(F.xxhash64(t), F.lit(buckets)).cast("short"))
+    return tokens.select(*keep, bucket.alias("hashes"))
+
+
+def _grams(hashed: DataFrame, *keep: str, buckets: int) -> DataFrame:
+    """``keep`` and ``grams``: the buckets of the tokens and of their neighbouring pairs."""
     double = F.transform(
         "hashes",
         lambda h, i: F.pmod(F.xxhash64(h, F.get(F.col("hashes"), i + 1)), F.lit(buckets)),
     )
     pairs = F.slice(double, 1, F.greatest(F.size("hashes") - 1, F.lit(0)))
-    return hashes.select(*keep, F.concat(single, pairs).alias("grams"))
+    return hashed.select(*keep, F.concat(F.col("hashes").cast("array<long>"), pairs).alias("grams"))
 
 
-def _counts(texts: DataFrame, buckets: int) -> DataFrame:
+def _counts(hashed: DataFrame, buckets: int) -> DataFrame:
     # A plain explode would also filter on the array's size, evaluating it twice.
-    grams = _grams(texts, buckets=buckets).select(F.explode_outer("grams").alias("slot"))
+    grams = _grams(hashed, buckets=buckets).select(F.explode_outer("grams").alias("slot"))
     return grams.groupBy("slot").agg(F.count("*").alias("n"))
 
 
@@ -109,9 +112,13 @@ def ngram_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -
     ``trusted`` holds ``doc_id`` of trusted documents; null ids and ids without a document
     count for nothing. All texts are counted, repeated rows each time.
     """
+    if buckets > 1 << 15:
+        raise ValueError("buckets are kept as short integers: 32768 at most")
     ids = trusted.where("doc_id is not null").select("doc_id").distinct()
-    raw = docs.select("doc_id", "text")
-    target = raw.where(maybe_in(F.col("doc_id"), ids)).join(ids, "doc_id", "left_semi")
+    raw = _hashed_tokens(docs, "doc_id", buckets=buckets)
+    # Two bytes a token are shuffled, of little more than the trusted texts.
+    near = _hashed_tokens(docs.where(maybe_in(F.col("doc_id"), ids)), "doc_id", buckets=buckets)
+    target = near.join(ids, "doc_id")
     both = (
         _counts(raw, buckets)
         .withColumn("t", F.lit(0).cast("long"))
@@ -154,7 +161,8 @@ def quality_verdicts(
         "base_failed",
     ]
     ruled = base_rules(docs).withColumn("row", F.monotonically_increasing_id())
-    grams = _grams(ruled, "row", *facts, buckets=buckets).select("row", *facts, F.explode_outer("grams").alias("slot"))
+    hashed = _hashed_tokens(ruled, "row", *facts, buckets=buckets)
+    grams = _grams(hashed, "row", *facts, buckets=buckets).select("row", *facts, F.explode_outer("grams").alias("slot"))
     # A row's n-grams stay in one task, so the partial sums shuffle one row per document.
     scored = (
         grams.join(weights, "slot", "left")
