@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.mixing import mixture
 from tripmart.llm.quality import quality_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, by source weights 3, 1, 2 in turn."""
+    return mixture(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules, score and verdict of every document; trusted are those of good quality."""
     trusted = _table(spark, sf_dir, "labels").where(F.col("quality") == 1)
@@ -25,6 +31,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Query name -> callable over (session, folder of the tables)."""
     return {
+        "op1_source_mixing": op1_source_mixing,
         "op10_quality_rules": op10_quality_rules,
     }
 
