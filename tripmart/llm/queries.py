@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.mixing import mixture
 from tripmart.llm.quality import quality_verdicts
+from tripmart.llm.rank_bpe import encode_documents
+from tripmart.llm.warc_zip import archive_round_trip
+
+VOCABULARY = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +27,17 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives as a WARC record and read back."""
+    return archive_round_trip(_table(spark, sf_dir, "pages")).drop("target")
+
+
+def op9_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded text of every document."""
+    path = public_tokenizers.path(VOCABULARY)
+    return encode_documents(_table(spark, sf_dir, "documents"), path)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules, score and verdict of every document; trusted are those of good quality."""
     trusted = _table(spark, sf_dir, "labels").where(F.col("quality") == 1)
@@ -32,10 +48,22 @@ def queries() -> dict[str, Query]:
     """Query name -> callable over (session, folder of the tables)."""
     return {
         "op1_source_mixing": op1_source_mixing,
+        "op3_warc_zip": op3_warc_zip,
+        "op9_rank_bpe": op9_rank_bpe,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name -> the same result in DuckDB SQL, where SQL can express it."""
-    return {}
+    return {
+        "op3_warc_zip": """
+WITH told AS (SELECT page_id, coalesce(html, '') AS html,
+    CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+first AS (SELECT html, min(page_id) AS first_id FROM told WHERE payload_bytes >= 100 GROUP BY html)
+SELECT t.page_id, t.payload_bytes, sha256(t.html) AS payload_digest,
+  CASE WHEN t.page_id > f.first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN t.page_id > f.first_id THEN f.first_id END AS refers_to
+FROM told AS t LEFT JOIN first AS f ON t.html = f.html
+""",
+    }
