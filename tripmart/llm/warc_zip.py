@@ -1,7 +1,8 @@
 """WARC records in ZIP archives: writing with payload deduplication, and reading in place.
 
-An archive is a ZIP file whose members are stored, not compressed: ``archive/data.warc``
-holds the records, ``indexes/index.jsonl`` one line per record with its place. A reader
+An archive is a ZIP file whose members are stored, not compressed: ``archive/data.warc.gz``
+holds the records, each a gzip member of its own, and ``indexes/index.jsonl`` one line
+per record with its place. A reader
 finds both through the central directory (ZIP64 included) and reads records by byte
 range; nothing is extracted. Files are reached through pyarrow's file systems, so
 the folder may be any URI these know.
@@ -9,6 +10,7 @@ the folder may be any URI these know.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import json
 import struct
@@ -29,7 +31,7 @@ MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 32 << 20
 # Records whose places fall into the same stretch are read by one task.
 STRETCH_BYTES = 8 << 20
-DATA, INDEX = "archive/data.warc", "indexes/index.jsonl"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 # Fixed values of the ZIP format: signatures and the layouts that follow them.
@@ -283,7 +285,7 @@ class _Archive:
         self.data = self.zip.open(DATA, "w", force_zip64=True)
 
     def add(self, page: dict) -> None:
-        record = record_bytes(page)
+        record = gzip.compress(record_bytes(page), mtime=0)
         self.data.write(record)
         place = {"offset": self.bytes, "length": len(record), "digest": page["digest"]}
         self.lines.append(json.dumps(place))
@@ -336,7 +338,7 @@ def read_records(index: DataFrame, folder: str, payload: bool = False) -> DataFr
             for path, places in batch.groupby("path"):
                 with system.open_input_file(path) as source:
                     for offset, length in zip(places["offset"], places["length"]):
-                        record = parse_record(read_range(source, offset, length))
+                        record = parse_record(gzip.decompress(read_range(source, offset, length)))
                         rows.append([record[name] for name in names])
             yield pd.DataFrame(rows, columns=names)
 
