@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.chosen_path import near_duplicates
 from tripmart.llm.mixing import mixture
 from tripmart.llm.quality import quality_verdicts
 from tripmart.llm.rank_bpe import encode_documents
@@ -32,6 +33,11 @@ def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(_table(spark, sf_dir, "pages")).drop("target")
 
 
+def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component and survivor of every document, three words and 85 percent."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op9_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of every document."""
     path = public_tokenizers.path(VOCABULARY)
@@ -49,6 +55,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_source_mixing": op1_source_mixing,
         "op3_warc_zip": op3_warc_zip,
+        "op4_chosen_path": op4_chosen_path,
         "op9_rank_bpe": op9_rank_bpe,
         "op10_quality_rules": op10_quality_rules,
     }
