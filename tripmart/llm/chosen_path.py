@@ -6,15 +6,15 @@ there. Nodes that are small enough are compared exhaustively, larger ones branch
 Candidates pass a test on signatures and are confirmed on full sets.
 
 Only what can join two components is compared: first each node's members with its
-smallest one, then members of different components. So a group of thousands of near
-copies costs its size, and its pairs are never written out.
+smallest one, then, in blocks, members outside a node's main component with the others.
+So a group of thousands of near copies never has its pairs written out.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -208,24 +208,26 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def _mixed_blocks(ends: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of nodes that still hold several components, dealt to blocks to compare.
+def _mixed_blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of nodes (node, cid) that still hold several components, dealt to blocks.
 
     In each node, members outside its most frequent component are queries against all
     members. Members and queries are split into blocks of the limit's size, and a group
-    (node, block, query block) meets in one task.
+    (node, block, query block) meets in one task. ``root`` is null outside ``roots``.
     """
-    members = ends.select("node", "cid", "n").join(
+    placed = members.select("node", "cid").join(
         roots.select(F.col("node").alias("cid"), F.col("root").alias("found")), "cid", "left"
-    ).select("node", "cid", "n", F.coalesce("found", "cid").alias("root"))
-    counts = members.groupBy("node", "root").agg(F.count("*").alias("rows"))
+    ).select("node", "cid", F.coalesce("found", "cid").alias("root"))
+    counts = placed.groupBy("node", "root").agg(F.count("*").alias("rows"))
     main = counts.groupBy("node").agg(
         F.max_by("root", F.struct("rows", "root")).alias("main"),
         F.sum("rows").alias("n"),
         F.max("rows").alias("most"),
     )
-    mixed = main.where("most < n").select("node", "main", (F.col("n") - F.col("most")).alias("m"))
-    rows = members.where(maybe_in(F.col("node"), mixed.select("node"))).join(mixed, "node")
+    mixed = main.where("most < n").select(
+        "node", "main", "n", (F.col("n") - F.col("most")).alias("m")
+    )
+    rows = placed.where(maybe_in(F.col("node"), mixed.select("node"))).join(mixed, "node")
     blocks = F.ceil(F.col("n") / NODE_LIMIT).cast("int")
     queries = F.ceil(F.col("m") / NODE_LIMIT).cast("int")
     spread = F.xxhash64("cid", F.lit(SEED))
@@ -248,68 +250,114 @@ def _mixed_blocks(ends: DataFrame, roots: DataFrame) -> DataFrame:
     return data.union(asked)
 
 
-def _cross_pairs(blocks: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (a, b) of different components within each block.
+BLOCK_KEYS = ["node", "block", "part"]
+
 
-    Signatures are compared by arrays. A block lies in one partition in one run, so
-    runs are cut where its key changes; at most one block is held at a time.
+def _by_block(rows: DataFrame, links: Callable[[pd.DataFrame], Iterator[tuple]]) -> DataFrame:
+    """Pairs (a, b) that ``links`` finds in each block.
+
+    A block lies in one partition in one run, so runs are cut where its key changes;
+    at most one block is held at a time.
     """
-    least = _least_matches(percent)
-    keys = ["node", "block", "part"]
-
-    def compare(run: pd.DataFrame) -> tuple[list, list]:
-        query = run["query"].to_numpy()
-        if query.all() or not query.any():
-            return [], []
-        values = np.stack(run["signature"].to_numpy())
-        roots, sizes = pd.factorize(run["root"])[0], run["n_shingles"].to_numpy()
-        cids = run["cid"].to_numpy()
-        data = np.flatnonzero(~query)
-        left, right = [], []
-        for q in np.flatnonzero(query):
-            fits = data[
-                (roots[data] != roots[q])
-                & (100 * np.minimum(sizes[data], sizes[q]) >= percent * np.maximum(sizes[data], sizes[q]))
-            ]
-            fits = fits[(values[fits] == values[q]).sum(axis=1) >= least]
-            left += [min(cids[q], cids[f]) for f in fits]
-            right += [max(cids[q], cids[f]) for f in fits]
-        return left, right
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
+
+        def found() -> Iterator[pd.DataFrame]:
+            block = pd.concat(held, ignore_index=True)
+            if block["query"].any():
+                rows = list(links(block))
+                if rows:
+                    yield pd.DataFrame(rows, columns=["a", "b"])
+
         for batch in batches:
-            starts = np.flatnonzero((batch[keys] != batch[keys].shift()).any(axis=1).to_numpy())
+            keys = batch[BLOCK_KEYS]
+            starts = np.flatnonzero((keys != keys.shift()).any(axis=1).to_numpy())
             bounds = [*starts, len(batch)]
             for start, end in zip(bounds, bounds[1:]):
                 run = batch.iloc[start:end]
-                if held and (held[0][keys].iloc[0] != run[keys].iloc[0]).any():
-                    left, right = compare(pd.concat(held))
-                    if left:
-                        yield pd.DataFrame({"a": left, "b": right})
-                    held = []
+                if held and tuple(held[0][BLOCK_KEYS].iloc[0]) != tuple(run[BLOCK_KEYS].iloc[0]):
+                    yield from found()
+                    held.clear()
                 held.append(run)
         if held:
-            left, right = compare(pd.concat(held))
-            if left:
-                yield pd.DataFrame({"a": left, "b": right})
+            yield from found()
+
+    dealt = rows.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
+    return dealt.mapInPandas(pairs, "a binary, b binary")
+
+
+def _forest(block: pd.DataFrame, fits: Callable[[int], np.ndarray]) -> Iterator[tuple]:
+    """Pairs of a query and a member that ``fits`` names, one for each two components
+    joined so: as many as the block has members at most."""
+    cids = block["cid"].to_numpy()
+    labels = pd.factorize(block["root"])[0]
+    for query in np.flatnonzero(block["query"].to_numpy()):
+        others = fits(query)
+        for other in others[labels[others] != labels[query]]:
+            if labels[other] != labels[query]:
+                yield min(cids[query], cids[other]), max(cids[query], cids[other])
+                labels[labels == labels[other]] = labels[query]
+
+
+def _likely_links(blocks: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links between components that sizes and signatures allow to be similar: enough of
+    them to join all that such pairs join."""
+    least = _least_matches(percent)
+
+    def links(block: pd.DataFrame) -> Iterator[tuple]:
+        values = np.stack(block["signature"].to_numpy())
+        sizes = block["n_shingles"].to_numpy()
+
+        def fits(query: int) -> np.ndarray:
+            low, high = np.minimum(sizes, sizes[query]), np.maximum(sizes, sizes[query])
+            near = np.flatnonzero(100 * low >= percent * high)
+            return near[(values[near] == values[query]).sum(axis=1) >= least]
+
+        return _forest(block, fits)
 
     known = blocks.join(classes.select("cid", "n_shingles", "signature"), "cid")
-    dealt = known.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInPandas(pairs, "a binary, b binary").distinct()
+    return _by_block(known, links).distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int):
-    """Pairs whose full sets are similar enough.
+def _full_links(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components whose full sets are similar enough."""
+
+    def links(block: pd.DataFrame) -> Iterator[tuple]:
+        hashes = [np.frombuffer(packed, np.uint64) for packed in block["hashes"]]
+        sizes = np.array([len(one) for one in hashes])
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        names, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
+        marks = np.zeros(len(names), np.int32)
+
+        def fits(query: int) -> np.ndarray:
+            own = tokens[starts[query] : starts[query] + sizes[query]]
+            marks[own] = 1
+            common = np.add.reduceat(marks[tokens], starts)
+            marks[own] = 0
+            return np.flatnonzero(100 * common >= percent * (sizes + sizes[query] - common))
+
+        return _forest(block, fits)
+
+    return stored(_by_block(blocks.join(sets, "cid"), links).distinct())
+
 
-    One row of each class in question is read again; a bit table of fixed size lets pass
-    little more than these, and only their sets are shuffled.
+def _sets_of(wanted: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """``cid, hashes`` of the wanted classes.
+
+    One row of each is read again; a bit table of fixed size lets pass little more than
+    these, and only their sets are shuffled.
     """
-    pairs = stored(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    wanted = stored(wanted.distinct())
     ids = stored(wanted.join(classes.select("cid", "min_id"), "cid")).select("min_id")
     found = docs.where(maybe_in(F.col("doc_id"), ids))
-    sets = stored(_full_sets(found, size).join(wanted, "cid").dropDuplicates(["cid"]))
+    return stored(_full_sets(found, size).join(wanted, "cid").dropDuplicates(["cid"]))
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int):
+    """Pairs whose full sets are similar enough."""
+    pairs = stored(pairs)
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("cid")), docs, classes, size)
 
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -354,8 +402,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     stars = every.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"))
     links = _confirmed(_likely(stars, classes, percent), docs, classes, size, percent)
     roots = stored(components(links))
-    cross = _cross_pairs(_mixed_blocks(ends, roots), classes, percent)
-    links = links.union(_confirmed(cross, docs, classes, size, percent))
+    likely = _likely_links(_mixed_blocks(ends, roots), classes, percent)
+    # Whatever is still to be compared lies within one group of likely links.
+    groups = components(likely.union(links)).select(F.col("root").alias("node"), F.col("node").alias("cid"))
+    blocks = stored(_mixed_blocks(stored(groups), roots))
+    sets = _sets_of(blocks.select("cid"), docs, classes, size)
+    links = links.union(_full_links(blocks, sets, percent))
     roots = stored(components(links)).withColumnRenamed("node", "cid")
     placed = stored(
         classes.select("cid", "min_id").join(roots, "cid", "left").select(
