@@ -12,6 +12,8 @@ from tripmart.llm.chosen_path import near_duplicates
 from tripmart.llm.mixing import mixture
 from tripmart.llm.quality import quality_verdicts
 from tripmart.llm.rank_bpe import encode_documents
+from tripmart.llm.skip_chain import personal_data
+from tripmart.llm.toxicity import toxicity_scores
 from tripmart.llm.warc_zip import archive_round_trip
 
 VOCABULARY = "word_bpe_49k.json"
@@ -38,6 +40,17 @@ def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    labels = _table(spark, sf_dir, "labels")
+    return toxicity_scores(_table(spark, sf_dir, "documents"), labels)
+
+
+def op8_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op9_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of every document."""
     path = public_tokenizers.path(VOCABULARY)
@@ -56,6 +69,8 @@ def queries() -> dict[str, Query]:
         "op1_source_mixing": op1_source_mixing,
         "op3_warc_zip": op3_warc_zip,
         "op4_chosen_path": op4_chosen_path,
+        "op5_toxicity": op5_toxicity,
+        "op8_skip_chain": op8_skip_chain,
         "op9_rank_bpe": op9_rank_bpe,
         "op10_quality_rules": op10_quality_rules,
     }
