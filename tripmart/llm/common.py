@@ -119,3 +119,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m"))
     return moved.union(least.select("u", "m")).toDF("u", "v")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is among those of ``gone``, null like any other.
+
+    The bit table passes most rows on as they are; only the others are shuffled for the
+    exact join.
+    """
+    ids = stored(gone.select(F.col("doc_id").alias("gone")).distinct())
+    suspect = maybe_in(F.col("doc_id"), ids)
+    checked = docs.where(suspect).join(ids, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    return docs.where(~suspect).unionByName(checked)
