@@ -28,7 +28,7 @@ COORDINATES = 64
 BRANCHES = 2
 FIRST_DEPTH, LAST_DEPTH = 3, 8
 # A node of so many classes is compared exhaustively; also the side of a block.
-NODE_LIMIT = 1024
+NODE_LIMIT = 4096
 TARGET_RECALL = 0.9999
 # Standard deviations of the signature's estimate that the test allows for.
 DEVIATIONS = 4.5
