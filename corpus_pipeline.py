@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.chosen_path import near_duplicates
-from tripmart.llm.common import stored, without
+from tripmart.llm.common import small_batches, stored, without
 from tripmart.llm.mixing import mixed_documents
 from tripmart.llm.quality import quality_verdicts
 from tripmart.llm.rank_bpe import encode_documents
@@ -30,11 +30,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words, 80 percent."""
+    small_batches(spark)
     return without(docs, near_duplicates(docs, size=5, percent=80).where("not kept"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
+    small_batches(spark)
     return masked_documents(docs)
 
 
@@ -45,6 +47,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of each row's ids and decoded text."""
+    small_batches(spark)
     return encode_documents(docs, public_tokenizers.path(VOCABULARY))
 
 

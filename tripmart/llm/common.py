@@ -131,3 +131,8 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     suspect = maybe_in(F.col("doc_id"), ids)
     checked = docs.where(suspect).join(ids, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
     return docs.where(~suspect).unionByName(checked)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of few rows: a row here is a whole text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

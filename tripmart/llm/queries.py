@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.chosen_path import near_duplicates
+from tripmart.llm.common import small_batches
+from tripmart.llm.host_paths import main_texts
 from tripmart.llm.mixing import mixture
+from tripmart.llm.multi_index import vector_links
 from tripmart.llm.quality import quality_verdicts
+from tripmart.llm.quotes import reply_threads
 from tripmart.llm.rank_bpe import encode_documents
 from tripmart.llm.skip_chain import personal_data
 from tripmart.llm.toxicity import toxicity_scores
@@ -30,6 +34,11 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents"))
 
 
+def op2_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without quotes, with its place in the thread of replies."""
+    return reply_threads(_table(spark, sf_dir, "conversations"))
+
+
 def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives as a WARC record and read back."""
     return archive_round_trip(_table(spark, sf_dir, "pages")).drop("target")
@@ -46,6 +55,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), labels)
 
 
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vector_links(_table(spark, sf_dir, "embeddings"))
+
+
+def op7_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op8_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return personal_data(_table(spark, sf_dir, "documents"))
@@ -65,15 +84,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Query name -> callable over (session, folder of the tables)."""
-    return {
+    named = {
         "op1_source_mixing": op1_source_mixing,
         "op3_warc_zip": op3_warc_zip,
         "op4_chosen_path": op4_chosen_path,
+        "op2_quote_linking": op2_quote_linking,
+        "op6_multi_index": op6_multi_index,
+        "op7_host_paths": op7_host_paths,
         "op5_toxicity": op5_toxicity,
         "op8_skip_chain": op8_skip_chain,
         "op9_rank_bpe": op9_rank_bpe,
         "op10_quality_rules": op10_quality_rules,
     }
+    return {name: _in_small_batches(query) for name, query in named.items()}
+
+
+def _in_small_batches(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:
