@@ -23,7 +23,6 @@ from tripmart.operators import zone_windows as windows  # noqa: E402
 from tripmart.operators.messages import encode_events  # noqa: E402
 from tripmart.plans.profiles import destination_profile  # noqa: E402
 from tripmart.schemas import PAYMENT_TYPES, RATECODES, VENDORS  # noqa: E402
-from tripmart.session import materialise  # noqa: E402
 from tripmart.streaming.zone_counts import stream_zone_counts  # noqa: E402
 
 # The corpus operators are an optional part: a subpackage and the pipeline over it.
@@ -191,7 +190,7 @@ def _star_dims(
     join_dates: bool = True,
 ) -> facts.StarDims:
     return facts.StarDims(
-        date=materialise(dim_date(spark, sf_dir)) if join_dates else None,
+        date=dim_date(spark, sf_dir) if join_dates else None,
         location=dimensions.dim_location(zone_lookup),
         customer=dimensions.dim_customer(trips),
         vendor=dimensions.dim_vendor(spark),

@@ -1,40 +1,16 @@
 from __future__ import annotations
 
-import subprocess
-import sys
 from pathlib import Path
 
-from tripmart.session import materialise, shared_folder
+import __spark_entry__ as entry
 
-ROOT = Path(__file__).resolve().parent.parent
+SF_DIR = "/root/testdata/sf0.001"
 
-READS_SETTING = """
-import sys
-from tripmart.session import build_session, shared_folder
-spark = build_session("s", master="local[1]", spark__checkpoint__dir=sys.argv[1],
-                      spark__ui__enabled="false")
-print(shared_folder(spark))
-spark.stop()
-"""
 
-
-def test_materialised_rows_are_read_from_the_shared_folder(spark):
-    frame = spark.range(5).withColumnRenamed("id", "n")
-    stored = materialise(frame)
-    assert stored.dtypes == frame.dtypes
-    assert {r["n"] for r in stored.collect()} == set(range(5))
-    folder = shared_folder(spark).rsplit("/", 1)[1]
-    assert all(folder in name for name in stored.inputFiles())
-
-
-def test_the_cluster_setting_is_used(tmp_path):
-    """A session of its own, since the setting is read when Spark starts."""
-    done = subprocess.run(
-        [sys.executable, "-c", READS_SETTING, str(tmp_path / "shared")],
-        cwd=ROOT,
-        capture_output=True,
-        text=True,
-        timeout=120,
-        check=True,
-    )
-    assert str(tmp_path / "shared") in done.stdout
+def test_building_a_query_writes_nothing(spark, tmp_path, monkeypatch):
+    """Facts and profiles keep no intermediate table on one machine."""
+    monkeypatch.setenv("TMPDIR", str(tmp_path))
+    before = {*Path("/tmp").glob("tripmart-*")}
+    for name in ("fact_star", "fact_unmatched_keys", "od_fallback"):
+        entry.queries()[name](spark, SF_DIR)
+    assert not [*tmp_path.iterdir()] and {*Path("/tmp").glob("tripmart-*")} == before

@@ -44,7 +44,7 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def sized_lookup(frame: DataFrame, limit: int = BROADCAST_BYTES) -> Lookup:
-    """Measure a lookup. Pass a cheap frame: a table, or something materialised."""
+    """Measure a lookup. Pass a cheap frame: a table."""
     return Lookup(frame, measured_bytes(frame) <= limit)
 
 

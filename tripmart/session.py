@@ -1,11 +1,8 @@
-"""Session defaults and the shared folder for cutting lineage."""
+"""Session defaults."""
 
 from __future__ import annotations
 
-import tempfile
-from uuid import uuid4
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job here relies on. Sizes are left to the cluster's own
 # configuration; AQE coalesces small shuffle partitions and splits skewed ones.
@@ -27,23 +24,3 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tripmart-checkpoint-"))
-    return context.getCheckpointDir()
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, into a table in the shared folder, and read it from there.
-
-    Losing executors cannot lose it, later steps do not compute it again, and its
-    size is known to the planner.
-    """
-    path = f"{shared_folder(df.sparkSession)}/{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
