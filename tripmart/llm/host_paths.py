@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm.common import stored
+
 # Element and class names of HTML pages.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
@@ -196,8 +198,10 @@ def main_texts(pages: DataFrame) -> DataFrame:
     )
     votes = given.select("host", "html").mapInPandas(_voted, "host string, path string")
     counts = votes.where("path is not null").groupBy("host", "path").agg(F.count("*").alias("n"))
-    winners = counts.groupBy("host").agg(
-        F.max_by("path", F.struct("n", F.col("path"))).alias("path")
+    # Stored, their size is known before pages are joined: small tables are broadcast by
+    # Spark, and the pages of a host stay where they are.
+    winners = stored(
+        counts.groupBy("host").agg(F.max_by("path", F.struct("n", F.col("path"))).alias("path"))
     )
     page_id = pages.schema["page_id"].dataType.simpleString()
     schema = f"page_id {page_id}, url string, text string, n_chars long"
