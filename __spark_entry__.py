@@ -458,7 +458,8 @@ FROM ({_SILVER}) AS s
 """
 _NAMES = f"SELECT DISTINCT phonenumber, full_name FROM ({_SILVER}) AS s"
 _CUSTOMERS = f"""
-SELECT phonenumber, min(full_name) AS full_name FROM ({_SILVER}) AS s GROUP BY phonenumber
+SELECT phonenumber, min(full_name) AS full_name FROM ({_SILVER}) AS s
+GROUP BY phonenumber, CASE WHEN phonenumber IS NULL THEN full_name END
 """
 _PAIRS = f"""
 SELECT "PULocationID" AS pickup_id, "DOLocationID" AS dropoff_id, count(*) AS weight
@@ -533,17 +534,21 @@ FROM ({_fact(_KNOWN_ZONES)}) AS f
 """,
         "payment_mix": f"""
 SELECT f.payment_type_id, p.payment_type_description, f.trip_count,
-  round(f.trip_count / sum(f.trip_count) OVER (), 6) AS share, f.fare_total
+  round(f.trip_count / sum(f.trip_count) OVER (), 6) AS share, f.fare_total, f.bad_fares
 FROM (SELECT payment_type_id, count(*) AS trip_count,
-    CAST(sum(CAST(fare_amount AS DECIMAL(18, 2))) AS DOUBLE) AS fare_total
+    CAST(sum(TRY_CAST(fare_amount AS DECIMAL(28, 2))) AS DOUBLE) AS fare_total,
+    count(*) FILTER (WHERE fare_amount IS NOT NULL
+      AND TRY_CAST(fare_amount AS DECIMAL(28, 2)) IS NULL) AS bad_fares
   FROM ({fact}) AS x GROUP BY payment_type_id) AS f
 LEFT JOIN (VALUES {_PAYMENTS}) AS p(payment_type_id, payment_type_description)
   ON f.payment_type_id = p.payment_type_id
 """,
         "payment_by_calendar": f"""
 SELECT f.payment_type_id, d.month AS pickup_month, d.day_of_week, count(*) AS trip_count,
-  CAST(sum(CAST(f.fare_amount AS DECIMAL(18, 2))) AS DOUBLE) AS fare_total
-FROM ({fact}) AS f JOIN ({_CALENDAR}) AS d ON f.pickup_date = d.date
+  CAST(sum(TRY_CAST(f.fare_amount AS DECIMAL(28, 2))) AS DOUBLE) AS fare_total,
+  count(*) FILTER (WHERE f.fare_amount IS NOT NULL
+    AND TRY_CAST(f.fare_amount AS DECIMAL(28, 2)) IS NULL) AS bad_fares
+FROM ({fact}) AS f LEFT JOIN ({_CALENDAR}) AS d ON f.pickup_date = d.date
 GROUP BY ALL
 """,
         "valid_location_semi": _KNOWN_PICKUPS,
@@ -573,7 +578,8 @@ FROM ({_PAIRS}) AS p LEFT JOIN everywhere AS e USING (dropoff_id)
 WHERE p.pickup_id NOT IN (SELECT pickup_id FROM own)
 """,
         "clamp_round": """
-SELECT event_id, round(greatest(0.1, least(50.0, value)), 2) AS distance FROM events
+SELECT event_id, CASE WHEN value IS NOT NULL AND NOT isnan(value)
+  THEN round(greatest(0.1, least(50.0, value)), 2) END AS distance FROM events
 """,
         "next_weekday": """
 SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)

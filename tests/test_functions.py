@@ -84,3 +84,8 @@ def test_bad_messages_give_null_fields(spark):
     }
     zones = [r["PULocationID"] for r in messages.pickups(frame.orderBy("n")).collect()]
     assert zones == [None, None, 7, 7, None]
+
+
+def test_distance_that_is_none_stays_none(spark):
+    frame = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert [r[0] for r in frame.select(bounded_distance(F.col("x"))).collect()] == [None, None]

@@ -129,14 +129,28 @@ def test_reports_read_the_stored_star(spark, lake):
     assert {r["fare_total"] for r in rows} == {20.0, 30.0}
 
 
-def test_uncommitted_version_is_ignored_and_replaced(spark, tmp_path):
+def test_uncommitted_version_is_ignored_and_left(spark, tmp_path):
     path = str(tmp_path / "table")
     write_next(spark.range(1), path)
     Path(path, "version=2").mkdir()
     assert committed_versions(spark, path) == [1]
     assert read_current(spark, path).count() == 1
     assert write_next(spark.range(3), path).count() == 3
-    assert committed_versions(spark, path) == [1, 2]
+    assert committed_versions(spark, path) == [1, 3]
+
+
+def test_versions_count_without_a_success_file(spark, tmp_path):
+    path = str(tmp_path / "table")
+    option = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    settings.set(option, "false")
+    try:
+        write_next(spark.range(1), path)
+        assert not Path(path, "version=1", "_SUCCESS").exists()
+        write_next(read_current(spark, path).union(spark.range(2)), path)
+    finally:
+        settings.unset(option)
+    assert read_current(spark, path).count() == 3
 
 
 def test_table_without_versions_is_the_start_of_them(spark, tmp_path):

@@ -83,6 +83,14 @@ def test_month_folder_may_be_padded(spark, tmp_path):
     assert (list(found), missing) == (["green"], ["yellow"])
 
 
+def test_month_in_both_folders_is_an_error(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    for path in paths.bronze_files("green", 2025, 1):
+        spark.range(2).write.parquet(path)
+    with pytest.raises(ValueError, match="more than once"):
+        files.read_bronze(spark, paths, 2025, 1)
+
+
 def test_append_new_adds_each_key_once(spark, tmp_path):
     path = str(tmp_path / "t")
     one = spark.createDataFrame([(1,), (None,)], "k int")

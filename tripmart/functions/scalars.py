@@ -9,9 +9,9 @@ from tripmart.schemas import DISTANCE_MAX, DISTANCE_MIN, EVENT_TIME_FORMAT
 
 
 def bounded_distance(distance: Column) -> Column:
-    """Clamp a distance to the message bounds, two decimals."""
+    """Clamp a distance to the message bounds, two decimals; NULL for NULL and NaN."""
     bounded = F.greatest(F.lit(DISTANCE_MIN), F.least(F.lit(DISTANCE_MAX), distance))
-    return F.round(bounded, 2)
+    return F.when(distance.isNotNull() & ~F.isnan(distance), F.round(bounded, 2))
 
 
 def event_time_text(time: Column) -> Column:
@@ -36,6 +36,16 @@ def next_weekday(date: Column, weekday: int | Column) -> Column:
     return F.date_add(date, F.pmod(target - F.weekday(date), F.lit(7)))
 
 
+def money(amount: Column) -> Column:
+    """A double amount in exact cents; NULL where it has none (NaN, infinite, beyond 26 digits)."""
+    return amount.try_cast("decimal(28,2)")
+
+
 def money_sum(amount: Column) -> Column:
     """Sum of a double amount in cents-exact decimals, independent of row order."""
-    return F.sum(amount.cast("decimal(18,2)")).cast("double")
+    return F.sum(money(amount)).cast("double")
+
+
+def bad_money_count(amount: Column) -> Column:
+    """How many amounts are present but have no exact cents; ``money_sum`` leaves them out."""
+    return F.count_if(amount.isNotNull() & money(amount).isNull())

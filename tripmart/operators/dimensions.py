@@ -70,10 +70,11 @@ def customer_names(trips: DataFrame) -> DataFrame:
 def dim_customer(trips: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per phone; the name in ``existing`` wins, and its phones all stay.
 
-    With ``existing`` this is a full outer merge on the phone. It is written as one
-    aggregation over both inputs: a NULL phone then merges like any other, and a
-    phone with very many trips shrinks to its distinct names before the shuffle on
-    the phone, since ``min`` over text would have to sort the raw trips.
+    Trips without a phone are no one customer: each of their names keeps a row with a
+    NULL phone. With ``existing`` this is a full outer merge on the phone, written as one
+    aggregation over both inputs: a phone with very many trips shrinks to its distinct
+    names before the shuffle on the phone, since ``min`` over text would have to sort
+    the raw trips.
     """
     no_name = F.lit(None).cast("string")
     names = customer_names(trips).select(
@@ -84,7 +85,10 @@ def dim_customer(trips: DataFrame, existing: DataFrame | None = None) -> DataFra
             "phonenumber", F.col("full_name").alias("known_name"), no_name.alias("seen_name")
         )
         names = names.unionByName(known)
-    merged = names.groupBy("phonenumber").agg(
+    nameless_phone = F.when(
+        F.col("phonenumber").isNull(), F.coalesce("known_name", "seen_name")
+    ).alias("own_name")
+    merged = names.groupBy("phonenumber", nameless_phone).agg(
         F.min("known_name").alias("known_name"), F.min("seen_name").alias("seen_name")
     )
     return merged.select("phonenumber", F.coalesce("known_name", "seen_name").alias("full_name"))

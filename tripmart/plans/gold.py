@@ -20,7 +20,6 @@ from tripmart.sources.sinks import (
     append_new,
     create_fact_table,
     overwrite,
-    overwrite_partitions,
     register_month,
 )
 from tripmart.sources.versions import read_current, write_next
@@ -79,15 +78,8 @@ def build_gold(
 
 
 def store_month(fact: DataFrame, paths: LakePaths, year: int, month: int) -> None:
-    """Replace the month's fact partition and leave all others.
-
-    A month without trips has no row to name its partition, so that one is emptied
-    by path.
-    """
-    if fact.isEmpty():
-        overwrite(fact.drop(*FACT_PARTITIONS), paths.fact_partition(year, month))
-    else:
-        overwrite_partitions(fact, paths.gold("fact_trips"))
+    """Replace the month's fact partition by path, an empty month included; others stay."""
+    overwrite(fact.drop(*FACT_PARTITIONS), paths.fact_partition(year, month))
 
 
 def main() -> None:

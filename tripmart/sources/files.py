@@ -24,16 +24,20 @@ def read_bronze(
     month: int,
     services: Iterable[str] = SERVICES,
 ) -> tuple[dict[str, DataFrame], list[str]]:
-    """The month's raw trips per service, and the services whose file is missing."""
+    """The month's raw trips per service, and the services whose file is missing.
+
+    A file under both spellings of the month is an error: which one counts is unknown.
+    """
     found: dict[str, DataFrame] = {}
     missing: list[str] = []
     for service in services:
-        scans = (read_if_exists(spark, p) for p in paths.bronze_files(service, year, month))
-        scan = next((s for s in scans if s is not None), None)
-        if scan is None:
-            missing.append(service)
+        files = [p for p in paths.bronze_files(service, year, month) if path_exists(spark, p)]
+        if len(files) > 1:
+            raise ValueError(f"{service} has its month more than once: {', '.join(files)}")
+        if files:
+            found[service] = spark.read.parquet(files[0])
         else:
-            found[service] = scan
+            missing.append(service)
     return found, missing
 
 

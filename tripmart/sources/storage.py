@@ -16,6 +16,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(files.globStatus(hadoop_path))
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    files, hadoop_path = _file_system(spark, path)
+    files.create(hadoop_path, True).close()
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in ``path``; none when it is missing."""
     files, hadoop_path = _file_system(spark, path)

@@ -1,7 +1,8 @@
 """Tables that a job both reads and replaces, kept as numbered complete versions.
 
-A new version is written beside the one being read and counts only once its write
-has committed, so a lost executor or a failed job never damages the current table.
+A new version is written beside the one being read, under a number no folder has yet, and
+counts only once a marker is written after it. So a lost executor or a failed job never
+damages the current table, whatever files the committer in use leaves behind.
 """
 
 from __future__ import annotations
@@ -9,24 +10,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.sources.files import read_if_exists
-from tripmart.sources.storage import folder_names, path_exists
+from tripmart.sources.storage import create_empty, folder_names, path_exists
 
 PREFIX = "version="
+MARKER = "_COMMITTED"
 
 
-def committed_versions(
-    spark: SparkSession, path: str, prefix: str = PREFIX, above: int = -1
-) -> list[int]:
-    """Numbers of the committed versions under ``path`` greater than ``above``, in order."""
-    numbers = (
+def mark_committed(spark: SparkSession, folder: str) -> None:
+    """Say that the folder is complete; readers of Parquet skip the marker."""
+    create_empty(spark, f"{folder}/{MARKER}")
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    return [
         int(name.removeprefix(prefix))
         for name in folder_names(spark, path)
         if name.startswith(prefix)
-    )
+    ]
+
+
+def committed_versions(
+    spark: SparkSession, path: str, prefix: str = PREFIX, above: int = -1
+) -> list[int]:
+    """Numbers of the committed versions under ``path`` greater than ``above``, in order.
+
+    Folders written before there was a marker count by their ``_SUCCESS`` file.
+    """
     return sorted(
         number
-        for number in numbers
-        if number > above and path_exists(spark, f"{path}/{prefix}{number}/_SUCCESS")
+        for number in _numbers(spark, path, prefix)
+        if number > above
+        and path_exists(spark, f"{path}/{prefix}{number}/{{{MARKER},_SUCCESS}}")
     )
 
 
@@ -41,7 +55,7 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
 def write_next(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as the next version and return the stored rows."""
     spark = df.sparkSession
-    versions = committed_versions(spark, path)
-    target = f"{path}/{PREFIX}{versions[-1] + 1 if versions else 1}"
-    df.write.mode("overwrite").parquet(target)
+    target = f"{path}/{PREFIX}{max(_numbers(spark, path, PREFIX), default=0) + 1}"
+    df.write.parquet(target)
+    mark_committed(spark, target)
     return spark.read.parquet(target)

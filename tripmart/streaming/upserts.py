@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.sources.versions import committed_versions
+from tripmart.sources.versions import committed_versions, mark_committed
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -31,16 +31,18 @@ def keyed_store(source_format: str, options: Mapping[str, str]) -> BatchWriter:
     return write
 
 
-def parquet_upserts(path: str, files_per_batch: int = 1) -> BatchWriter:
+def parquet_upserts(path: str, files_per_batch: int | None = None) -> BatchWriter:
     """Write each batch's changed counts to its own folder under ``path``.
 
-    The changed rows, few next to the events, are moved into ``files_per_batch``
-    files by an exchange, which leaves the stateful stage as wide as it was.
+    Each partition of the batch writes its own file. With ``files_per_batch`` an exchange
+    moves the changed rows into that many.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.repartition(files_per_batch, *KEY)
-        changed.write.mode("overwrite").parquet(f"{path}/batches/{BATCH}{batch_id}")
+        changed = batch.repartition(files_per_batch, *KEY) if files_per_batch else batch
+        folder = f"{path}/batches/{BATCH}{batch_id}"
+        changed.write.mode("overwrite").parquet(folder)
+        mark_committed(batch.sparkSession, folder)
 
     return write
 
@@ -94,5 +96,7 @@ def compact_zone_counts(spark: SparkSession, path: str) -> int | None:
         return None
     upto = batches[-2]
     counts = _latest(_versioned_counts(spark, path, upto))
-    counts.write.mode("overwrite").parquet(f"{path}/snapshots/{SNAPSHOT}{upto}")
+    folder = f"{path}/snapshots/{SNAPSHOT}{upto}"
+    counts.write.mode("overwrite").parquet(folder)
+    mark_committed(spark, folder)
     return upto
