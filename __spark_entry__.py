@@ -73,10 +73,11 @@ def zone_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_enrich_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone names by a shuffled join."""
     zones = windows.zone_names(fixtures.zone_lookup(spark, sf_dir))
     events = fixtures.zone_events(spark, sf_dir)
     return windows.zone_enrich(
-        events, zones, "event_id", windows.EVENT_TIME, broadcast_bytes=0
+        events, zones, "event_id", windows.EVENT_TIME, shuffled=True
     )
 
 
@@ -92,7 +93,7 @@ def zone_counts_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zone_counts_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = windows.zone_names(fixtures.zone_lookup(spark, sf_dir))
-    trips = fixtures.trips(spark, sf_dir, "PULocationID")
+    trips = fixtures.trips(spark, sf_dir)
     return stream_zone_counts(encode_events(trips), zones)
 
 
@@ -127,7 +128,7 @@ def silver_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_date(fixtures.trips(spark, sf_dir, "pickup_datetime"))
+    return dimensions.dim_date(fixtures.trips(spark, sf_dir))
 
 
 def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,27 +145,27 @@ def _with_trip_count(dim: DataFrame, trips: DataFrame, dim_key: str, column: str
 
 
 def dim_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = fixtures.trips(spark, sf_dir, "VendorID")
+    trips = fixtures.trips(spark, sf_dir)
     return _with_trip_count(dimensions.dim_vendor(spark), trips, "vendor_id", "VendorID")
 
 
 def dim_ratecode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = fixtures.trips(spark, sf_dir, "RatecodeID")
+    trips = fixtures.trips(spark, sf_dir)
     return _with_trip_count(dimensions.dim_ratecode(spark), trips, "ratecode_id", "RatecodeID")
 
 
 def dim_payment_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = fixtures.trips(spark, sf_dir, "payment_type")
+    trips = fixtures.trips(spark, sf_dir)
     dim = dimensions.dim_payment_type(spark)
     return _with_trip_count(dim, trips, "payment_type_id", "payment_type")
 
 
 def customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.customer_names(fixtures.trips(spark, sf_dir, "full_name"))
+    return dimensions.customer_names(fixtures.trips(spark, sf_dir))
 
 
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_customer(fixtures.trips(spark, sf_dir, "full_name"))
+    return dimensions.dim_customer(fixtures.trips(spark, sf_dir))
 
 
 def dim_customer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +177,7 @@ def dim_customer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("Known "), "c_name").alias("full_name"),
         )
     )
-    return dimensions.dim_customer(fixtures.trips(spark, sf_dir, "full_name"), known)
+    return dimensions.dim_customer(fixtures.trips(spark, sf_dir), known)
 
 
 # --- fact -------------------------------------------------------------------------
@@ -187,7 +188,7 @@ def _star_dims(
     sf_dir: str,
     trips: DataFrame,
     zone_lookup: DataFrame,
-    join_dates: bool = True,
+    join_dates: bool = False,
 ) -> facts.StarDims:
     return facts.StarDims(
         date=dim_date(spark, sf_dir) if join_dates else None,
@@ -206,9 +207,10 @@ def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_star_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star by shuffled joins, the date dimension among them."""
     trips = fixtures.trips(spark, sf_dir)
-    dims = _star_dims(spark, sf_dir, trips, fixtures.zone_lookup(spark, sf_dir))
-    return facts.fact_trips(trips, dims, YEAR, MONTH, broadcast_bytes=0)
+    dims = _star_dims(spark, sf_dir, trips, fixtures.zone_lookup(spark, sf_dir), join_dates=True)
+    return facts.fact_trips(trips, dims, YEAR, MONTH, shuffled=True)
 
 
 def fact_unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,8 +224,8 @@ def fact_unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _payment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = fixtures.trips(spark, sf_dir, "payment_type", "fare_amount")
-    dims = _star_dims(spark, sf_dir, trips, fixtures.zone_lookup(spark, sf_dir), join_dates=False)
+    trips = fixtures.trips(spark, sf_dir)
+    dims = _star_dims(spark, sf_dir, trips, fixtures.zone_lookup(spark, sf_dir))
     return facts.fact_trips(trips, dims, YEAR, MONTH)
 
 
@@ -246,13 +248,13 @@ def _known_zone_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def valid_location_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = profiles.zone_weights(fixtures.trips(spark, sf_dir, "PULocationID"), "PULocationID")
+    weights = profiles.zone_weights(fixtures.trips(spark, sf_dir), "PULocationID")
     return profiles.known_zones(weights, _known_zone_ids(spark, sf_dir), "location_id")
 
 
 def valid_pair_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = profiles.pair_weights(
-        fixtures.trips(spark, sf_dir, "PULocationID", "DOLocationID")
+        fixtures.trips(spark, sf_dir)
     )
     zones = _known_zone_ids(spark, sf_dir)
     return profiles.known_zones(pairs, zones, "pickup_id", "dropoff_id")
@@ -264,13 +266,13 @@ def pickup_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def od_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = profiles.pair_weights(
-        fixtures.trips(spark, sf_dir, "PULocationID", "DOLocationID")
+        fixtures.trips(spark, sf_dir)
     )
     return profiles.normalise_rows(pairs)
 
 
 def od_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = fixtures.trips(spark, sf_dir, "PULocationID", "DOLocationID")
+    trips = fixtures.trips(spark, sf_dir)
     return destination_profile(trips, _known_zone_ids(spark, sf_dir))
 
 

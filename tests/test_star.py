@@ -4,6 +4,7 @@ from collections import Counter
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from plan_text import plan_of
 from rows import raw_trips, zone_lookup
@@ -68,9 +69,9 @@ def test_customer_merge_keeps_known_names_and_absent_phones(spark):
     assert Counter(map(tuple, again.collect())) == Counter(expected)
 
 
-@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+@pytest.mark.parametrize("shuffled", [False, True])
 @pytest.mark.parametrize("join_dates", [True, False])
-def test_unknown_ids_give_null_keys_and_keep_the_trip(spark, broadcast_bytes, join_dates):
+def test_unknown_ids_give_null_keys_and_keep_the_trip(spark, shuffled, join_dates):
     trips = silver(
         spark,
         {},
@@ -78,7 +79,7 @@ def test_unknown_ids_give_null_keys_and_keep_the_trip(spark, broadcast_bytes, jo
         {"VendorID": None, "DOLocationID": None, "RatecodeID": 1.5, "payment_type": None},
     )
     dims = star(spark, trips) if join_dates else star(spark, trips, date=None)
-    rows = facts.fact_trips(trips, dims, 2025, 1, broadcast_bytes).collect()
+    rows = facts.fact_trips(trips, dims, 2025, 1, shuffled).collect()
     keys = Counter(
         (
             r["vendor_id"],
@@ -121,11 +122,13 @@ def test_fact_plan_is_map_only(spark, tmp_path):
     dims = star(spark, trips)
     dims.date.write.parquet(str(tmp_path / "date"))
     dims.customer.write.parquet(str(tmp_path / "customer"))
+    dims.location.write.parquet(str(tmp_path / "location"))
     stored = star(
         spark,
         trips,
         date=spark.read.parquet(str(tmp_path / "date")),
         customer=spark.read.parquet(str(tmp_path / "customer")),
+        location=spark.read.parquet(str(tmp_path / "location")),
     )
     plan = plan_of(facts.fact_trips(trips, stored, 2025, 1))
     assert "SortMergeJoin" not in plan
@@ -134,6 +137,37 @@ def test_fact_plan_is_map_only(spark, tmp_path):
     assert str(tmp_path / "date") in plan
 
 
+def test_hot_location_gives_the_same_fact_without_broadcasts(spark):
+    """A third of the trips start in one zone."""
+    places = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 7).cast("int").alias("place")
+    )
+    trips = silver(spark, {}).drop("PULocationID").crossJoin(places)
+    trips = trips.withColumnRenamed("place", "PULocationID")
+    dims = star(spark, trips)
+
+    def pickups():
+        fact = facts.fact_trips(trips, dims, 2025, 1)
+        return Counter(r["pickup_location_id"] for r in fact.select("pickup_location_id").collect())
+
+    usual = pickups()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        assert pickups() == usual
+    finally:
+        spark.conf.unset(key)
+    assert sum(usual.values()) == 3000 and usual[1] >= 1000
+
+
+def test_reports_join_no_unused_dimension(spark, tmp_path):
+    silver(spark, {}).write.parquet(str(tmp_path / "silver"))
+    trips = spark.read.parquet(str(tmp_path / "silver"))
+    fact = facts.fact_trips(trips, star(spark, trips, date=None), 2025, 1)
+    plan = plan_of(payment_mix(fact, dimensions.dim_payment_type(spark)))
+    assert "vendor_id" not in plan and "rate" not in plan.replace("Generate", "")
+
+
 def test_unmatched_keys_are_counted_per_dimension(spark):
     trips = silver(spark, {"VendorID": 3}, {"VendorID": 4, "PULocationID": 500})
     fact = facts.fact_trips(trips, star(spark, trips), 2025, 1)

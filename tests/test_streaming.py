@@ -56,8 +56,11 @@ def feed(tmp_path):
 
 
 @pytest.fixture()
-def zones(spark):
-    return zone_names(zone_lookup(spark))
+def zones(spark, tmp_path):
+    """Zones of a stored lookup, whose size Spark knows."""
+    path = str(tmp_path / "zones")
+    zone_lookup(spark).write.parquet(path)
+    return zone_names(spark.read.parquet(path))
 
 
 def run(spark, feed, zones, write_batch, checkpoint):
@@ -199,7 +202,7 @@ def test_keyed_store_appends_with_its_options(spark, tmp_path):
 def test_stream_join_without_broadcast_keeps_every_event(spark, feed, zones, tmp_path):
     feed.send((0, 1), (1, 2), (2, 40), (3, 1))
     messages = message_stream(spark, "text", {}, str(feed.folder))
-    enriched = zone_enrich(pickups(messages), zones, broadcast_bytes=0)
+    enriched = zone_enrich(pickups(messages), zones, shuffled=True)
     seen = Counter()
 
     def collect(batch, batch_id):

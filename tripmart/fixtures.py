@@ -12,32 +12,30 @@ from pyspark.sql import functions as F
 from tripmart.operators.conform import silver_trips
 from tripmart.operators.messages import decode_json
 from tripmart.operators.zone_windows import EVENT_TIME
-from tripmart.schemas import SILVER_TYPES
 
-# Trip column -> (table it comes from, expression over that table).
+# Trip column -> expression over the joined tables.
 ROLES = {
-    "VendorID": ("lineitem", "l_linenumber"),
-    "pickup_datetime": ("orders", "o_orderdate"),
-    "dropoff_datetime": ("lineitem", "l_shipdate"),
-    "store_and_fwd_flag": ("lineitem", "l_returnflag"),
-    "RatecodeID": ("lineitem", "rint(l_tax * 100)"),
-    "PULocationID": ("customer", "c_nationkey"),
-    "DOLocationID": ("supplier", "s_nationkey"),
-    "passenger_count": ("lineitem", "l_quantity"),
-    "trip_distance": ("lineitem", "l_discount * 100"),
-    "fare_amount": ("lineitem", "l_extendedprice"),
-    "extra": ("lineitem", "l_discount"),
-    "mta_tax": ("lineitem", "l_tax"),
-    "tip_amount": ("lineitem", "0.0D"),
-    "tolls_amount": ("lineitem", "0.0D"),
-    "improvement_surcharge": ("lineitem", "0.0D"),
-    "total_amount": ("orders", "o_totalprice"),
-    "payment_type": ("orders", "substr(o_orderpriority, 1, 1)"),
-    "congestion_surcharge": ("lineitem", "0.0D"),
-    "phonenumber": ("orders", "o_custkey"),
-    "full_name": ("customer", "c_name"),
+    "VendorID": "l_linenumber",
+    "pickup_datetime": "o_orderdate",
+    "dropoff_datetime": "l_shipdate",
+    "store_and_fwd_flag": "l_returnflag",
+    "RatecodeID": "rint(l_tax * 100)",
+    "PULocationID": "c_nationkey",
+    "DOLocationID": "s_nationkey",
+    "passenger_count": "l_quantity",
+    "trip_distance": "l_discount * 100",
+    "fare_amount": "l_extendedprice",
+    "extra": "l_discount",
+    "mta_tax": "l_tax",
+    "tip_amount": "0.0D",
+    "tolls_amount": "0.0D",
+    "improvement_surcharge": "0.0D",
+    "total_amount": "o_totalprice",
+    "payment_type": "substr(o_orderpriority, 1, 1)",
+    "congestion_surcharge": "0.0D",
+    "phonenumber": "o_custkey",
+    "full_name": "c_name",
 }
-ALL = tuple(SILVER_TYPES)
 
 # The driver's tables. Given to the scan, they save it the footer job
 # that finds the schema.
@@ -72,43 +70,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bronze_trips(
     spark: SparkSession,
     sf_dir: str,
-    columns: tuple[str, ...] = ALL,
     prefix: str = "tpep_",
     status: str | None = None,
 ) -> DataFrame:
-    """Raw trips, of one line status or of all, with a service's time names.
-
-    Tables that none of ``columns`` needs are not joined; the trip columns they
-    would give are NULL. Orders give the pickup time and are always joined.
-    """
-    needed = {ROLES[name][0] for name in columns}
+    """Raw trips, of one line status or of all, with a service's time names."""
     lines = table(spark, sf_dir, "lineitem")
     if status:
         lines = lines.filter(F.col("l_linestatus") == status)
     orders = table(spark, sf_dir, "orders")
-    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-    if "customer" in needed:
-        customers = table(spark, sf_dir, "customer")
-        joined = joined.join(customers, joined["o_custkey"] == customers["c_custkey"])
-    if "supplier" in needed:
-        suppliers = table(spark, sf_dir, "supplier")
-        joined = joined.join(suppliers, joined["l_suppkey"] == suppliers["s_suppkey"])
-    joinable = needed | {"lineitem", "orders"}
+    customers = table(spark, sf_dir, "customer")
+    suppliers = table(spark, sf_dir, "supplier")
+    joined = (
+        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+        .join(customers, orders["o_custkey"] == customers["c_custkey"])
+        .join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"])
+    )
     return joined.select(
         *[
-            F.expr(text if source in joinable else "NULL").alias(
-                f"{prefix}{name}" if name.endswith("_datetime") else name
-            )
-            for name, (source, text) in ROLES.items()
+            F.expr(text).alias(f"{prefix}{name}" if name.endswith("_datetime") else name)
+            for name, text in ROLES.items()
         ],
         F.expr(SERVICE).alias("service"),
     )
 
 
-def trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Silver trips of both services in one scan; see ``bronze_trips`` for ``columns``."""
-    raw = bronze_trips(spark, sf_dir, columns or ALL)
-    return silver_trips(raw, F.col("service"))
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver trips of both services in one scan."""
+    return silver_trips(bronze_trips(spark, sf_dir), F.col("service"))
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str, without_borough: str | None = None) -> DataFrame:

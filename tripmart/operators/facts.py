@@ -7,21 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators.lookup import (
-    BROADCAST_BYTES,
-    left_lookup,
-    literal_lookup,
-    sized_lookup,
-)
 from tripmart.schemas import FACT_ATTRIBUTES, FACT_KEYS, FACT_MEASURES, FACT_PARTITIONS
 
-# Differ between the trips of one key; all of them are read for the fact anyway.
-SPREAD_BY = ("pickup_datetime", "dropoff_datetime", "total_amount")
-
 
 @dataclass(frozen=True)
 class StarDims:
-    """Dimension frames. ``date`` and ``location`` are measured: pass stored ones.
+    """Dimension frames; Spark knows the size of stored ones.
 
     ``date`` may be None when the date dimension is derived from the same trips: it
     then has every date, and the fact takes the dates without a join.
@@ -40,35 +31,39 @@ def fact_trips(
     dims: StarDims,
     year: int,
     month: int,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Left star join; an id missing from its dimension gives a NULL key, the row stays.
 
-    Only the key of each dimension is joined, so no dimension text travels. With
-    lookups within the broadcast limit the whole star is one map-only stage.
+    Only the key of each dimension is joined, so no dimension text travels. Literal
+    dimensions are broadcast, their rows being written in this package. Dates and
+    locations go by Spark's size estimate: with stored ones the star is one map-only
+    stage. ``shuffled`` asks for shuffled joins of these two, whose hot keys adaptive
+    execution splits.
     """
-    location = sized_lookup(dims.location.select("location_id"), broadcast_bytes)
-    vendor = literal_lookup(dims.vendor.select("vendor_id"))
-    ratecode = literal_lookup(
-        dims.ratecode.select("ratecode_id", F.col("ratecode_id").cast("double").alias("rate"))
+
+    def sized(frame: DataFrame) -> DataFrame:
+        return frame.hint("merge") if shuffled else frame
+
+    def location(role: str) -> DataFrame:
+        return sized(dims.location.select(F.col("location_id").alias(role)))
+
+    # Distinct keys let the optimizer drop the join where the key is not used; one
+    # partition, so that this takes no exchange.
+    vendor = dims.vendor.coalesce(1).select("vendor_id").distinct()
+    rate = F.col("ratecode_id").cast("double").alias("rate")
+    ratecode = dims.ratecode.coalesce(1).groupBy(rate).agg(
+        F.min("ratecode_id").alias("ratecode_id")
     )
-    payment = literal_lookup(dims.payment_type.select("payment_type_id"))
+    payment = dims.payment_type.coalesce(1).select("payment_type_id").distinct()
 
     # lookup, value in the trip, column of the lookup it must equal
     roles = [
-        (
-            location.renamed("location_id", "pickup_location_id"),
-            F.col("PULocationID"),
-            "pickup_location_id",
-        ),
-        (
-            location.renamed("location_id", "dropoff_location_id"),
-            F.col("DOLocationID"),
-            "dropoff_location_id",
-        ),
-        (vendor, F.col("VendorID"), "vendor_id"),
-        (ratecode, F.col("RatecodeID"), "rate"),
-        (payment, F.col("payment_type"), "payment_type_id"),
+        (location("pickup_location_id"), F.col("PULocationID"), "pickup_location_id"),
+        (location("dropoff_location_id"), F.col("DOLocationID"), "dropoff_location_id"),
+        (F.broadcast(vendor), F.col("VendorID"), "vendor_id"),
+        (F.broadcast(ratecode), F.col("RatecodeID"), "rate"),
+        (F.broadcast(payment), F.col("payment_type"), "payment_type_id"),
     ]
     dates = {
         "pickup_date": F.to_date("pickup_datetime"),
@@ -78,10 +73,12 @@ def fact_trips(
     if dims.date is None:
         keyed = keyed.withColumns(dates)
     else:
-        date = sized_lookup(dims.date.select("date"), broadcast_bytes)
-        roles += [(date.renamed("date", role), day, role) for role, day in dates.items()]
+        roles += [
+            (sized(dims.date.select(F.col("date").alias(role))), day, role)
+            for role, day in dates.items()
+        ]
     for lookup, value, lookup_key in roles:
-        keyed = left_lookup(keyed, lookup, value, lookup_key, SPREAD_BY, counted=trips)
+        keyed = keyed.join(lookup, value == F.col(lookup_key), "left")
 
     # One row per phone: the join keeps every trip once, and the optimizer, seeing
     # that, drops it with the customer scan and its shuffle.

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators.lookup import BROADCAST_BYTES, left_lookup, sized_lookup
 from tripmart.schemas import SLIDE_MINUTES, WINDOW_MINUTES
 
 EVENT_TIME = "tpep_pickup_datetime"
@@ -20,23 +19,24 @@ def zone_enrich(
     events: DataFrame,
     zones: DataFrame,
     *keep: str,
-    spread_by: tuple[str, ...] = (EVENT_TIME,),
-    broadcast_bytes: int = BROADCAST_BYTES,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Add the zone name of ``PULocationID``; events of unknown zones are dropped.
 
-    ``zones`` must be a batch frame; ``events`` may be a stream.
+    ``zones`` must be a batch frame; ``events`` may be a stream. Spark broadcasts zones by
+    its size estimate; ``shuffled`` asks for a shuffled join instead, whose hot zones
+    adaptive execution splits.
     """
-    lookup = sized_lookup(zones, broadcast_bytes)
-    named = left_lookup(events, lookup, F.col("PULocationID"), "zone_id", spread_by)
+    lookup = zones.hint("merge") if shuffled else zones
+    named = events.join(lookup, F.col("PULocationID") == F.col("zone_id"), "left")
     return named.filter(F.col("zone").isNotNull()).select(*keep, "zone")
 
 
 def zone_counts(events: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips per zone in every 15-minute window, one window every 5 minutes.
 
-    Streams and batches give the same counts; each takes the cheaper of two plans
-    that it can run.
+    Streams and batches give the same counts, but for events that a stream drops as too
+    late; each takes a plan that it can run.
     """
     return sliding_counts(events, zones) if events.isStreaming else bucket_counts(events, zones)
 
@@ -66,7 +66,7 @@ def bucket_counts(events: DataFrame, zones: DataFrame) -> DataFrame:
         .groupBy("bucket_start", "PULocationID")
         .agg(F.count("*").alias("events"))
     )
-    named = zone_enrich(per_bucket, zones, "bucket_start", "events", spread_by=("bucket_start",))
+    named = zone_enrich(per_bucket, zones, "bucket_start", "events")
     starts = F.expr(
         f"sequence(bucket_start - INTERVAL {WINDOW_MINUTES - SLIDE_MINUTES} MINUTES, "
         f"bucket_start, INTERVAL {SLIDE_MINUTES} MINUTES)"

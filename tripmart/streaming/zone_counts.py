@@ -87,14 +87,14 @@ def main() -> None:
 
     spark = build_session(
         "zone-counts",
-        spark__cassandra__connection__host=os.getenv("CASSANDRA_HOST", "cassandra"),
+        spark__cassandra__connection__host=os.environ["CASSANDRA_HOST"],
         spark__cassandra__connection__port=os.getenv("CASSANDRA_PORT", "9042"),
         # Keeps window state off the executor heap.
         spark__sql__streaming__stateStore__providerClass=(
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
     )
-    bootstrap = os.getenv("KAFKA_BOOTSTRAP", "kafka1:19092")
+    bootstrap = os.environ["KAFKA_BOOTSTRAP"]
     options = kafka_options(
         bootstrap, arguments.topic, max_offsets_per_trigger=arguments.max_offsets
     )
