@@ -6,7 +6,6 @@ trip roles; the SQL below states the same roles on its own.
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tripmart import fixtures  # noqa: E402
+from tripmart import fixtures, stored_queries  # noqa: E402
 from tripmart.functions import bounded_distance, next_weekday  # noqa: E402
 from tripmart.operators import conform, dimensions, facts, profiles, reports  # noqa: E402
 from tripmart.operators import zone_windows as windows  # noqa: E402
@@ -26,16 +25,16 @@ from tripmart.schemas import PAYMENT_TYPES, RATECODES, VENDORS  # noqa: E402
 from tripmart.streaming.zone_counts import stream_zone_counts  # noqa: E402
 
 # The corpus operators are an optional part: a subpackage and the pipeline over it.
-if importlib.util.find_spec("tripmart.llm"):
+try:
     from tripmart.llm import queries as corpus  # noqa: E402
-else:
+except ImportError:
     corpus = None
-if corpus and importlib.util.find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline  # noqa: E402
-else:
+except ImportError:
     corpus_pipeline = None
 
-YEAR, MONTH = 2025, 1
+YEAR, MONTH = stored_queries.YEAR, 1
 UNKNOWN_BOROUGH = "EUROPE"
 KNOWN_SEGMENT = "BUILDING"
 
@@ -118,8 +117,8 @@ def silver_dropna(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.union_services(
         {
-            "yellow": fixtures.bronze_trips(spark, sf_dir, prefix="tpep_", status="F"),
-            "green": fixtures.bronze_trips(spark, sf_dir, prefix="lpep_", status="O"),
+            "yellow": fixtures.bronze_trips(spark, sf_dir, prefix="tpep_", service="yellow"),
+            "green": fixtures.bronze_trips(spark, sf_dir, prefix="lpep_", service="green"),
         }
     )
 
@@ -323,7 +322,7 @@ def queries() -> dict[str, Query]:
         "od_fallback": od_fallback,
         "clamp_round": clamp_round,
         "next_weekday": next_weekday_of,
-    }
+    } | stored_queries.queries()
     timed = {name: _with_plain_times(query) for name, query in named.items()}
     if corpus:
         timed |= corpus.queries()
@@ -389,7 +388,7 @@ _RATECODES = _values(RATECODES)
 _PAYMENTS = _values(PAYMENT_TYPES)
 
 
-def _fact(zones: str) -> str:
+def _fact(zones: str, month: str = str(MONTH)) -> str:
     return f"""
 SELECT t.phonenumber, v.vendor_id, r.ratecode_id, p.payment_type_id,
   pd.date AS pickup_date, dd.date AS dropoff_date,
@@ -397,7 +396,7 @@ SELECT t.phonenumber, v.vendor_id, r.ratecode_id, p.payment_type_id,
   t.passenger_count, t.trip_distance, t.fare_amount, t.extra, t.mta_tax, t.tip_amount,
   t.tolls_amount, t.improvement_surcharge, t.total_amount, t.congestion_surcharge,
   t.store_and_fwd_flag, t.service_type,
-  CAST({YEAR} AS INTEGER) AS year, CAST({MONTH} AS INTEGER) AS month
+  CAST({YEAR} AS INTEGER) AS year, CAST({month} AS INTEGER) AS month
 FROM ({_SILVER}) AS t
   LEFT JOIN ({_DATES}) AS pd ON CAST(t.pickup_datetime AS DATE) = pd.date
   LEFT JOIN ({_DATES}) AS dd ON CAST(t.dropoff_datetime AS DATE) = dd.date
@@ -479,6 +478,38 @@ GROUP BY "PULocationID"
 """
 
 
+# Events by the run that they arrive in, and the time up to which a run drops windows.
+_LATE = stored_queries.LATE_MODULUS
+_ARRIVALS = f"""
+SELECT date_trunc('second', ts) AS ts, k, least({stored_queries.LATE_RUNS - 1},
+  (day(ts) - 1) // {stored_queries.DAYS_OF_RUN} + CASE WHEN event_id % {_LATE} = 0 THEN 1 ELSE 0 END)
+  AS run FROM ({_PARSED}) AS e
+"""
+_LATE_COUNTS = f"""
+WITH arrivals AS ({_ARRIVALS}),
+marks AS (SELECT r.run, max(a.ts) - INTERVAL '20 minutes' AS mark
+  FROM (SELECT DISTINCT run FROM arrivals) AS r LEFT JOIN arrivals AS a ON a.run < r.run
+  GROUP BY r.run),
+windows AS (SELECT a.run, a.k, time_bucket(INTERVAL '5 minutes', a.ts) - i * INTERVAL '5 minutes'
+    AS window_start FROM arrivals AS a CROSS JOIN range(3) AS offsets(i))
+SELECT w.window_start, w.window_start + INTERVAL '15 minutes' AS window_end, z.zone,
+  count(*) AS trip_count
+FROM windows AS w JOIN marks AS m ON w.run = m.run JOIN ({_ZONES}) AS z ON w.k = z.location_id
+WHERE m.mark IS NULL OR w.window_start + INTERVAL '15 minutes' > m.mark
+GROUP BY ALL
+"""
+_MONTH_OF_TRIP = "CASE WHEN month(t.pickup_datetime) <= 6 THEN 1 ELSE 2 END"
+_MONTH_CUSTOMERS = f"""
+SELECT month, phonenumber, min(full_name) AS full_name
+FROM (SELECT t.phonenumber, t.full_name, {_MONTH_OF_TRIP} AS month FROM ({_SILVER}) AS t) AS s
+GROUP BY ALL
+"""
+_ZONE_LINES = f"""
+SELECT c_custkey % 10 AS kind, CAST(c_custkey AS INTEGER) AS "LocationID", c_mktsegment AS "Borough",
+  c_name AS "Zone", CAST(c_nationkey AS VARCHAR) AS service_zone FROM customer
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Query name -> the same result in DuckDB SQL."""
     fact = _fact(_ZONES)
@@ -582,6 +613,32 @@ WHERE p.pickup_id NOT IN (SELECT pickup_id FROM own)
         "clamp_round": """
 SELECT event_id, CASE WHEN value IS NOT NULL AND NOT isnan(value)
   THEN round(greatest(0.1, least(50.0, value)), 2) END AS distance FROM events
+""",
+        "stream_late_events": _LATE_COUNTS,
+        "stream_replayed_batches": _sliding(_PARSED),
+        "stream_restarted": _sliding(_PARSED),
+        "silver_landed": f"SELECT * FROM ({_SILVER}) AS s",
+        "gold_two_months": _fact(_ZONES, _MONTH_OF_TRIP),
+        "gold_catalog_months": _fact(_ZONES, _MONTH_OF_TRIP),
+        "gold_dates_appended": _CALENDAR,
+        "gold_customers_read": f"""
+SELECT coalesce(a.phonenumber, b.phonenumber) AS phonenumber,
+  coalesce(a.full_name, 'Later ' || b.full_name) AS full_name
+FROM (SELECT * FROM ({_MONTH_CUSTOMERS}) AS x WHERE month = 1) AS a
+  FULL OUTER JOIN (SELECT * FROM ({_MONTH_CUSTOMERS}) AS y WHERE month = 2) AS b
+  ON a.phonenumber = b.phonenumber
+""",
+        "matrix_pairs": _KNOWN_PAIRS,
+        "zone_lines": f"""
+SELECT CASE WHEN kind NOT IN (3, 5, 7) THEN "LocationID" END AS "LocationID",
+  CASE WHEN kind NOT IN (3, 5, 7) THEN "Borough" END AS "Borough",
+  CASE WHEN kind NOT IN (3, 5, 7) THEN "Zone" END AS "Zone",
+  CASE WHEN kind NOT IN (3, 5, 7) THEN service_zone END AS service_zone,
+  CASE kind WHEN 3 THEN 'n/a,' || "Borough" || ',' || "Zone" || ',' || service_zone
+    WHEN 5 THEN ',' || "Borough" || ',' || "Zone" || ',' || service_zone
+    WHEN 7 THEN "LocationID" || ',' || "Borough" || ',' || "Zone" || ',' || service_zone || ',more'
+  END AS rejected
+FROM ({_ZONE_LINES}) AS z
 """,
         "next_weekday": """
 SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)

@@ -1,19 +1,30 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 from collections import Counter
 from datetime import datetime
 from pathlib import Path
 
 import pytest
 
+from plan_text import plan_of
 from rows import TRIP, raw_trips, zone_lookup
 from tripmart.plans import reports
 from tripmart.plans.gold import build_gold
 from tripmart.plans.month import build_month
 from tripmart.plans.silver import build_silver
+from tripmart.sources.files import read_silver
 from tripmart.sources.paths import LakePaths
-from tripmart.sources.versions import committed_versions, read_current, write_next
+from tripmart.sources.versions import (
+    MARKER,
+    committed_versions,
+    read_current,
+    replace_table,
+    settle_table,
+    write_next,
+)
 
 
 def land_month(spark, paths, year, month, *changes):
@@ -161,3 +172,73 @@ def test_table_without_versions_is_the_start_of_them(spark, tmp_path):
     write_next(read_current(spark, path).union(spark.range(1)), path)
     assert read_current(spark, path).count() == 3
     assert os.path.isdir(f"{path}/version=1")
+
+
+def test_a_plain_read_of_the_customers_sees_one_version(spark, lake):
+    path = lake.gold("dim_customer")
+    for month in (1, 2, 2):
+        run_month(spark, lake, 2025, month)
+        rows = spark.read.parquet(path).collect()
+        assert len({r["phonenumber"] for r in rows}) == len(rows) == month + 1
+
+
+def test_customers_kept_in_versions_are_taken_over(spark, lake):
+    path = lake.gold("dim_customer")
+    for name in ("Old", "Known"):
+        write_next(spark.createDataFrame([("100", name)], "phonenumber string, full_name string"), path)
+    run_month(spark, lake, 2025, 1)
+    names = {r["phonenumber"]: r["full_name"] for r in spark.read.parquet(path).collect()}
+    assert names == {"100": "Known", "200": "Ben"}
+
+
+@pytest.mark.parametrize("lost", ["between the renames", "before them", "while writing"])
+def test_a_cut_off_swap_loses_nothing(spark, tmp_path, lost):
+    path, new, old = (str(tmp_path / name) for name in ("t", "_next_t", "_previous_t"))
+    for rows in (1, 2):
+        replace_table(spark.range(rows), path)
+    spark.range(3).write.parquet(new)
+    if lost != "while writing":
+        Path(new, MARKER).touch()
+    if lost == "between the renames":
+        os.rename(old, f"{old}_before")
+        os.rename(path, old)
+    settle_table(spark, path)
+    assert read_current(spark, path).count() == (3 if lost == "between the renames" else 2)
+    replace_table(read_current(spark, path).union(spark.range(5)), path)
+    assert spark.read.parquet(path).count() == (8 if lost == "between the renames" else 7)
+
+
+def test_catalog_reads_one_month_only(spark, lake):
+    spark.sql("DROP TABLE IF EXISTS fact_pruned")
+    for month in (1, 2):
+        run_month(spark, lake, 2025, month, table="fact_pruned")
+    one = spark.table("fact_pruned").where("month = 2 and year = 2025")
+    assert one.count() == 3
+    plan = plan_of(one)
+    assert "PartitionFilters: [isnotnull(month" in plan and "(month" in plan.split("PartitionFilters")[1]
+    assert "month=1" not in " ".join(one.inputFiles())
+    spark.sql("DROP TABLE fact_pruned")
+
+
+@pytest.mark.parametrize("job", ["silver", "gold", "month"])
+def test_jobs_run_from_the_command_line(spark, lake, tmp_path, job):
+    target = Path(lake.zone_lookup)
+    target.parent.mkdir(parents=True)
+    target.write_text("LocationID,Borough,Zone,service_zone\n1,Manhattan,Midtown,Yellow Zone\n")
+    if job == "gold":
+        build_silver(spark, lake, 2025, 1)
+    script = Path(reports.__file__).parent / f"{job}.py"
+    table = [] if job == "silver" else ["--table", "fact_of_command"]
+    settings = {
+        "PYTHONPATH": str(script.parents[2]),
+        "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false pyspark-shell",
+    }
+    command = [sys.executable, str(script), "--root", lake.root, "--year", "2025", "--month", "1"]
+    done = subprocess.run(
+        [*command, *table], cwd=tmp_path, env=os.environ | settings, capture_output=True, text=True
+    )
+    assert done.returncode == 0, done.stderr
+    if job != "gold":
+        assert "missing=('green',)" in done.stdout
+    stored_rows = read_silver(spark, lake, 2025, 1) if job == "silver" else reports.read_fact(spark, lake)
+    assert stored_rows.count() == 2

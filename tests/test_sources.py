@@ -115,3 +115,19 @@ def test_published_messages_can_be_decoded(spark, tmp_path):
     publish(encode_events(trips), "text", {"path": path})
     decoded = decode_events(spark.read.text(path)).collect()
     assert sorted(str(r["PULocationID"]) for r in decoded) == ["1", "None"]
+
+
+def test_bad_zone_lines_are_kept_as_rejected(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text(f"{ZONES}x9,Queens,Astoria,Boro Zone\n,Queens,Nowhere,Boro Zone\n4,Queens\n5,a,b,c,d\n")
+    lines = files.read_zone_lines(spark, str(path))
+    rejected = [r["rejected"] for r in lines.where("rejected is not null").collect()]
+    assert sorted(rejected) == [
+        ",Queens,Nowhere,Boro Zone",
+        "4,Queens",
+        "5,a,b,c,d",
+        "x9,Queens,Astoria,Boro Zone",
+    ]
+    assert sorted(r["LocationID"] for r in lines.where("rejected is null").collect()) == [1, 2, 3]
+    assert [r[0] for r in lines.select("LocationID").na.drop().sort("LocationID").collect()] == [1, 2, 3]
+    assert lines.count() == 7

@@ -7,6 +7,7 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from plan_text import plan_of
 from rows import zone_lookup
@@ -246,3 +247,71 @@ def test_kafka_subscription_options():
     assert kafka_options("host:1", "trips") == options
     bounded = kafka_options("host:1", "trips", max_offsets_per_trigger=500)
     assert bounded == options | {"maxOffsetsPerTrigger": "500"}
+
+
+def test_a_new_checkpoint_is_refused(spark, feed, zones, tmp_path):
+    """Its batches would count from 0 again and never be read."""
+    path = str(tmp_path / "out")
+    for minute in (0, 1, 2):
+        feed.send((minute, 1))
+    run(spark, feed, zones, upserts.parquet_upserts(path), tmp_path / "check")
+    ledger = upserts.read_ledger(spark, path)
+    assert ledger.query_id not in (None, "none") and ledger.batches[:3] == (0, 1, 2)
+    assert upserts.compact_zone_counts(spark, path) is not None
+    before = counts_of(upserts.current_zone_counts(spark, path))
+    with pytest.raises(StreamingQueryException, match="belongs to query"):
+        run(spark, feed, zones, upserts.parquet_upserts(path), tmp_path / "other")
+    assert counts_of(upserts.current_zone_counts(spark, path)) == before
+    feed.send((3, 1))
+    run(spark, feed, zones, upserts.parquet_upserts(path), tmp_path / "check")
+    assert counts_of(upserts.current_zone_counts(spark, path))[0, "Midtown"] == 4
+
+
+def test_running_job_compacts_its_sink(spark, feed, zones, tmp_path):
+    path = str(tmp_path / "out")
+    events = [(minute, 1 + minute % 2) for minute in range(9)]
+    for event in events:
+        feed.send(event)
+    run(spark, feed, zones, upserts.parquet_upserts(path, compact_every=3), tmp_path / "check")
+    ledger = upserts.read_ledger(spark, path)
+    assert ledger.snapshot >= 5 and len(ledger.batches) <= 4
+    assert counts_of(upserts.current_zone_counts(spark, path)) == expected_counts(events)
+
+
+def test_failed_batch_is_replayed_after_a_compaction(spark, feed, zones, tmp_path):
+    path = str(tmp_path / "out")
+    write = upserts.parquet_upserts(path)
+    events = [(0, 1), (1, 1), (2, 2)]
+    for event in events:
+        feed.send(event)
+
+    def failing(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 2:
+            upserts.compact_zone_counts(spark, path)
+            raise OSError("lost after the write")
+
+    with pytest.raises(StreamingQueryException):
+        run(spark, feed, zones, failing, tmp_path / "check")
+    assert upserts.read_ledger(spark, path).snapshot == 1
+    run(spark, feed, zones, write, tmp_path / "check")
+    assert counts_of(upserts.current_zone_counts(spark, path)) == expected_counts(events)
+
+
+def test_ledger_refuses_what_it_cannot_place(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write = upserts.parquet_upserts(path)
+    for batch_id in range(3):
+        write(batch_of(spark, ("a", batch_id)), batch_id)
+    assert upserts.compact_zone_counts(spark, path) == 1
+    with pytest.raises(upserts.ForeignSink, match="batch 1"):
+        write(batch_of(spark, ("a", 9)), 1)
+    (tmp_path / "out" / "ledger" / "another.batch.0").touch()
+    with pytest.raises(upserts.ForeignSink, match="several"):
+        upserts.current_zone_counts(spark, path)
+    old = tmp_path / "old"
+    batch_of(spark, ("a", 1)).write.parquet(str(old / "batches" / "batch_id=0"))
+    with pytest.raises(upserts.ForeignSink, match="without a ledger"):
+        upserts.current_zone_counts(spark, str(old))
+    with pytest.raises(FileNotFoundError):
+        upserts.current_zone_counts(spark, str(tmp_path / "none"))

@@ -71,12 +71,12 @@ def bronze_trips(
     spark: SparkSession,
     sf_dir: str,
     prefix: str = "tpep_",
-    status: str | None = None,
+    service: str | None = None,
 ) -> DataFrame:
-    """Raw trips, of one line status or of all, with a service's time names."""
+    """Raw trips, of one service or of all, with a service's time names."""
     lines = table(spark, sf_dir, "lineitem")
-    if status:
-        lines = lines.filter(F.col("l_linestatus") == status)
+    if service:
+        lines = lines.filter(F.expr(SERVICE) == service)
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     suppliers = table(spark, sf_dir, "supplier")

@@ -11,20 +11,22 @@ from tripmart.functions import bad_money_count, money, money_sum
 def payment_mix(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
     """Trips, their share and fares per payment type.
 
-    The total is a scalar subquery over the groups. Fares without exact cents are counted
-    as ``bad_fares`` and not summed.
+    The groups, one for each payment type and one for none, are folded to a row with their
+    total and unfolded again, so the trips are read once. Fares without exact cents are
+    counted as ``bad_fares`` and not summed.
     """
     per_type = fact.groupBy("payment_type_id").agg(
         F.count("*").alias("trip_count"),
         money_sum(F.col("fare_amount")).alias("fare_total"),
         bad_money_count(F.col("fare_amount")).alias("bad_fares"),
     )
-    total = per_type.agg(F.sum("trip_count")).scalar()
-    return per_type.join(payment_types, "payment_type_id", "left").select(
+    rows = F.collect_list(F.struct(*per_type.columns))
+    folded = per_type.agg(F.sum("trip_count").alias("total"), rows.alias("rows"))
+    return folded.select("total", F.inline("rows")).join(payment_types, "payment_type_id", "left").select(
         "payment_type_id",
         "payment_type_description",
         "trip_count",
-        F.round(F.col("trip_count") / total, 6).alias("share"),
+        F.round(F.col("trip_count") / F.col("total"), 6).alias("share"),
         "fare_total",
         "bad_fares",
     )

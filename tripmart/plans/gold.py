@@ -22,20 +22,24 @@ from tripmart.sources.sinks import (
     overwrite,
     register_month,
 )
-from tripmart.sources.versions import read_current, write_next
+from tripmart.sources.versions import read_current, replace_table, settle_table
+
+
+def store_customers(spark: SparkSession, paths: LakePaths, trips: DataFrame) -> DataFrame:
+    """Add the trips' customers to the stored ones; names that are known stay."""
+    path = paths.gold("dim_customer")
+    settle_table(spark, path)
+    return replace_table(dimensions.dim_customer(trips, read_current(spark, path)), path)
 
 
 def store_dimensions(
     spark: SparkSession, paths: LakePaths, trips: DataFrame, zone_lookup: DataFrame
 ) -> StarDims:
     """Write all dimensions and return the stored rows, cheap to measure and to join."""
-    known_customers = read_current(spark, paths.gold("dim_customer"))
     return StarDims(
         date=append_new(dimensions.dim_date(trips), paths.gold("dim_date"), "date"),
         location=overwrite(dimensions.dim_location(zone_lookup), paths.gold("dim_location")),
-        customer=write_next(
-            dimensions.dim_customer(trips, known_customers), paths.gold("dim_customer")
-        ),
+        customer=store_customers(spark, paths, trips),
         vendor=overwrite(dimensions.dim_vendor(spark), paths.gold("dim_vendor")),
         ratecode=overwrite(dimensions.dim_ratecode(spark), paths.gold("dim_ratecode")),
         payment_type=overwrite(

@@ -53,6 +53,29 @@ def read_zone_lookup(spark: SparkSession, path: str, infer_schema: bool = False)
     return spark.read.schema(ZONE_LOOKUP_DDL).csv(path, header=True)
 
 
+def read_zone_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the zone lookup CSV with a ``rejected`` column.
+
+    ``rejected`` is the whole line where it breaks the contract: an id that is missing or
+    no whole number, or too many or too few fields. Its other columns are then NULL, so
+    a bad line is neither a zone nor lost without a word.
+    """
+    columns = ZONE_LOOKUP_DDL.replace(" NOT NULL", "")
+    # Without its unused columns a line would not be seen to have too many or too few.
+    reader = spark.read.schema(f"{columns}, rejected STRING").option("columnPruning", "false")
+    lines = reader.csv(
+        path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="rejected"
+    )
+    names = [field.name for field in lines.schema if field.name != "rejected"]
+    # A missing id parses well, but the contract has none; so the line is put together.
+    told = F.concat_ws(",", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names])
+    rejected = F.coalesce("rejected", F.when(F.col(names[0]).isNull(), told))
+    return lines.select(rejected.alias("rejected"), *names).select(
+        *[F.when(F.col("rejected").isNull(), F.col(name)).alias(name) for name in names],
+        "rejected",
+    )
+
+
 def read_zone_ids(spark: SparkSession, path: str) -> DataFrame:
     """The valid zone ids of the lookup as ``location_id``."""
     return read_zone_lookup(spark, path).select(F.col("LocationID").alias("location_id"))

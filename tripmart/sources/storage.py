@@ -22,6 +22,29 @@ def create_empty(spark: SparkSession, path: str) -> None:
     files.create(hadoop_path, True).close()
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; ``target`` must not exist."""
+    files, hadoop_path = _file_system(spark, path)
+    target_path = _file_system(spark, target)[1]
+    if files.exists(target_path) or not files.rename(hadoop_path, target_path):
+        raise OSError(f"cannot move {path} to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    files, hadoop_path = _file_system(spark, path)
+    if files.exists(hadoop_path) and not files.delete(hadoop_path, True):
+        raise OSError(f"cannot delete {path}")
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path``, in one listing; none when it is missing."""
+    files, hadoop_path = _file_system(spark, path)
+    if not files.exists(hadoop_path):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(hadoop_path) if s.isFile()]
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in ``path``; none when it is missing."""
     files, hadoop_path = _file_system(spark, path)

@@ -1,8 +1,10 @@
-"""Tables that a job both reads and replaces, kept as numbered complete versions.
+"""Tables that a job both reads and replaces.
 
-A new version is written beside the one being read, under a number no folder has yet, and
-counts only once a marker is written after it. So a lost executor or a failed job never
-damages the current table, whatever files the committer in use leaves behind.
+``replace_table`` keeps one folder that any reader may open: the new table is written
+beside it, marked complete, and takes its place by a rename. ``write_next`` keeps numbered
+versions, for readers that go through ``read_current``. In both, what counts is marked
+after it is written. So a lost executor or a failed job never damages the current table,
+whatever files the committer in use leaves behind.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.sources.files import read_if_exists
-from tripmart.sources.storage import create_empty, folder_names, path_exists
+from tripmart.sources.storage import create_empty, folder_names, move, path_exists, remove
 
 PREFIX = "version="
 MARKER = "_COMMITTED"
@@ -59,3 +61,38 @@ def write_next(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(target)
     mark_committed(spark, target)
     return spark.read.parquet(target)
+
+
+def _beside(path: str, role: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{role}_{name}"
+
+
+def settle_table(spark: SparkSession, path: str) -> None:
+    """Finish a swap that a failure cut off between its two renames."""
+    if path_exists(spark, path):
+        return
+    for role in ("next", "previous"):
+        if path_exists(spark, f"{_beside(path, role)}/{MARKER}"):
+            move(spark, _beside(path, role), path)
+            return
+
+
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """Make ``df``, which may read ``path``, the table at ``path``; return the stored rows.
+
+    A plain read sees the old rows or the new ones, never both; between the two renames
+    it finds no folder. The old table stays beside the new one until the next call. Where
+    a rename copies, as in object stores, the swap takes as long as copying the table.
+    """
+    spark = df.sparkSession
+    new, old = _beside(path, "next"), _beside(path, "previous")
+    df.write.mode("overwrite").parquet(new)
+    mark_committed(spark, new)
+    if path_exists(spark, path):
+        remove(spark, old)
+        # A table of numbered versions has its markers inside.
+        mark_committed(spark, path)
+        move(spark, path, old)
+    move(spark, new, path)
+    return spark.read.parquet(path)

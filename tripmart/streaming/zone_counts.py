@@ -48,9 +48,11 @@ def message_stream(
     return spark.readStream.format(source_format).options(**options).load(path)
 
 
-def stream_zone_counts(messages: DataFrame, zones: DataFrame) -> DataFrame:
+def stream_zone_counts(
+    messages: DataFrame, zones: DataFrame, lateness: str = WATERMARK
+) -> DataFrame:
     """Decode, bound the lateness, count. ``messages`` may also be a batch."""
-    events = pickups(messages).withWatermark(EVENT_TIME, WATERMARK)
+    events = pickups(messages).withWatermark(EVENT_TIME, lateness)
     return zone_counts(events, zones)
 
 
@@ -60,13 +62,14 @@ def start_zone_counts(
     write_batch: BatchWriter,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
+    lateness: str = WATERMARK,
 ) -> StreamingQuery:
     """Start the stream; each batch hands only the changed counts to ``write_batch``.
 
     A restart with the same ``checkpoint`` continues where the last batch ended.
     """
     writer = (
-        stream_zone_counts(messages, zones)
+        stream_zone_counts(messages, zones, lateness)
         .writeStream.foreachBatch(write_batch)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
@@ -83,6 +86,9 @@ def main() -> None:
     parser.add_argument("--topic", default="taxi-stream")
     parser.add_argument("--max-offsets", type=int, help="most messages in one batch")
     parser.add_argument("--parquet-sink", help="write here instead of to the keyed store")
+    parser.add_argument(
+        "--compact-every", type=int, default=100, help="fold the Parquet sink at so many batches"
+    )
     arguments = parser.parse_args()
 
     spark = build_session(
@@ -101,7 +107,7 @@ def main() -> None:
     messages = message_stream(spark, "kafka", options)
     zones = zone_names(read_zone_lookup(spark, arguments.zones))
     sink = (
-        parquet_upserts(arguments.parquet_sink)
+        parquet_upserts(arguments.parquet_sink, compact_every=arguments.compact_every)
         if arguments.parquet_sink
         else keyed_store(
             "org.apache.spark.sql.cassandra", {"keyspace": "taxi", "table": "zone_counts"}
