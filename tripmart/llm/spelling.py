@@ -14,9 +14,10 @@ So a task holds ``LIMIT`` words, and searches stream past them.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,38 +27,52 @@ from tripmart.llm.common import stored
 # The successive groups; all letters beyond ASCII share the last two.
 GROUPS = "e a i n r t s o l d u c m p g h bf vw kqj xyz".split()
 LEVELS = len(GROUPS) + 2
-LEVEL_OF = {letter: level for level, group in enumerate(GROUPS) for letter in group}
 DEPTHS = (2, 4, 6, 9, 12, 16, LEVELS)  # counts in a cell's key, split by split
-LIMIT = 20_000
-BUCKET = 24  # words of a trie node that is not divided further
+LIMIT = 10_000
+BUCKET = 96  # words of a trie node that is not divided further
+TOGETHER = 20_000  # searches that walk a trie at once
+PAIRS = 1 << 20  # vectors compared at once
 SEARCHES_PER_TASK = 200_000
 
 # What a search may still spend: both budgets, a surplus, a deficit, or nothing.
 SWAP, SURPLUS, DROP, SPENT = range(4)
 STORED, SEARCH = 0, 1
 
-# A vector as one number, and the differences that one edit makes. A replaced letter is
-# searched from the word that loses in the earlier group, a deleted one from the longer.
-UNITS = [1 << 6 * level for level in range(LEVELS)]
-SWAPS = {UNITS[j] - UNITS[i] for j in range(LEVELS) for i in range(j)} | {0}
-DROPS = {-unit for unit in UNITS}
+LEVEL_OF = np.array(
+    [
+        next((level for level, group in enumerate(GROUPS) if chr(code) in group), LEVELS - 2 + code % 2)
+        for code in range(128)
+    ]
+)
+
+# A vector as one number, and the differences that one edit makes. Differences of such
+# sums are sums of differences, so none is missed; what else looks like one is verified.
+# A replaced letter is searched from the word that loses in the earlier group, a deleted
+# one from the longer.
+WORD64 = (1 << 64) - 1
+UNITS = np.random.default_rng(0).integers(1, 1 << 63, LEVELS, dtype=np.uint64)
+SWAPS = {int(x) - int(y) & WORD64 for j, x in enumerate(UNITS) for y in UNITS[:j]} | {0}
+DROPS = {-int(unit) & WORD64 for unit in UNITS}
+LOOKS_LIKE = np.zeros(1 << 16, dtype=bool)  # by the upper 16 bits
+LOOKS_LIKE[[change >> 48 for change in SWAPS | DROPS]] = True
 
 ROWS = "key string, depth int, kind int, state int, word string, n long"
 
 
-def level_of(letter: str) -> int:
-    return LEVEL_OF.get(letter, LEVELS - 2 + ord(letter) % 2)
-
-
-def counts_of(word: str) -> list[int]:
-    counts = [0] * LEVELS
-    for letter in word:
-        counts[level_of(letter)] += 1
-    return counts
+def counts_of(words: Sequence[str]) -> np.ndarray:
+    """A row of counts for each word."""
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    rows = np.repeat(np.arange(len(words)), lengths)
+    levels = np.where(
+        letters < 128, LEVEL_OF[np.minimum(letters, 127)], LEVELS - 2 + letters % 2
+    )
+    counted = np.bincount(rows * LEVELS + levels, minlength=len(words) * LEVELS)
+    return counted.reshape(len(words), LEVELS)
 
 
-def packed(counts: list[int]) -> int:
-    return sum(count * unit for count, unit in zip(counts, UNITS))
+def numbers_of(counts: np.ndarray) -> np.ndarray:
+    return (counts.astype(np.uint64) * UNITS).sum(axis=1, dtype=np.uint64)
 
 
 def one_edit(one: str, two: str) -> bool:
@@ -91,43 +106,93 @@ def prefixes(counts: list[int], state: int) -> list[tuple[list[int], int]]:
 
 
 class Trie:
-    """Words of one cell below its key; a node is a dict by count or a list of words."""
+    """Words of one length in the order of their counts; a node is a range of them.
 
-    def __init__(self, words: list[tuple[str, int]], level: int):
-        rows = []
-        for word, n in words:
-            counts = counts_of(word)
-            rows.append((counts, packed(counts), word, n))
-        self.level = level
-        self.root = self._node(rows, level)
-
-    def _node(self, rows: list, level: int):
-        if len(rows) <= BUCKET or level == LEVELS:
-            return [row[1:] for row in rows]
-        children: dict[int, list] = {}
-        for row in rows:
-            children.setdefault(row[0][level], []).append(row)
-        return {count: self._node(some, level + 1) for count, some in children.items()}
-
-    def near(self, word: str, state: int) -> Iterator[tuple[str, int]]:
-        counts = counts_of(word)
-        vector = packed(counts)
-        pending = [(self.root, self.level, state)]
+    One edit lies in one half of a word and leaves the other as it is, so two words of a
+    leaf are compared letter by letter only where their beginnings or their ends agree.
+    """
+
+    def __init__(self, words: Sequence[str], level: int):
+        counts = counts_of(words)
+        order = np.lexsort(counts.T[::-1])
+        self.level, self.order, self.counts = level, order, counts[order]
+        self.words = [words[place] for place in order]
+        self.numbers = numbers_of(self.counts)
+        self.length = len(words[0])
+        self.begins: dict[str, int] = {}
+        self.ends: dict[str, int] = {}
+        for head, tail in map(self._halves, self.words):
+            self.begins.setdefault(head, len(self.begins))
+            self.ends.setdefault(tail, len(self.ends))
+        self.halves = self._numbered(self.words)
+
+    def _halves(self, word: str) -> tuple[str, str]:
+        """Beginning and end; together they are a stored word, or less than a longer one."""
+        head = self.length // 2
+        return word[:head], word[head - self.length :]
+
+    def _numbered(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        halves = [self._halves(word) for word in words]
+        return (
+            np.array([self.begins.get(head, -1) for head, _ in halves]),
+            np.array([self.ends.get(tail, -1) for _, tail in halves]),
+        )
+
+    def near(self, words: Sequence[str], states: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Places of searched and of stored words one edit apart.
+
+        Searches that are in a node with the same budgets go on together.
+        """
+        counts = counts_of(words)
+        numbers = numbers_of(counts)
+        halves = self._numbered(words)
+        pending = [(0, len(self.words), self.level, np.arange(len(words)), states)]
         while pending:
-            node, level, left = pending.pop()
-            if isinstance(node, dict):
-                for count, then in spend(counts[level], left):
-                    child = node.get(count)
-                    if child is not None:
-                        pending.append((child, level + 1, then))
+            start, end, level, asked, left = pending.pop()
+            if end - start <= BUCKET or level == LEVELS:
+                for search, stored_word in self._alike(start, end, asked, numbers, halves):
+                    if self._verified(words[search], stored_word, numbers[search]):
+                        yield search, int(self.order[stored_word])
                 continue
-            for other, candidate, n in node:
-                change = other - vector
-                if change in SWAPS:
-                    if (change or candidate > word) and one_edit(word, candidate):
-                        yield candidate, n
-                elif change in DROPS and one_edit(word, candidate):
-                    yield candidate, n
+            column, own = self.counts[start:end, level], counts[asked, level]
+            cuts = np.flatnonzero(np.diff(column)) + 1
+            for first, last in zip([0, *cuts], [*cuts, end - start]):
+                change = column[first] - own
+                lost = (change == -1) & ((left == SWAP) | (left == DROP))
+                won = (change == 1) & (left == SURPLUS)
+                some = np.flatnonzero((change == 0) | lost | won)
+                if len(some):
+                    then = left[some]
+                    then[lost[some]] = np.where(then[lost[some]] == SWAP, SURPLUS, SPENT)
+                    then[won[some]] = SPENT
+                    pending.append((start + first, start + last, level + 1, asked[some], then))
+
+    def _alike(
+        self,
+        start: int,
+        end: int,
+        asked: np.ndarray,
+        numbers: np.ndarray,
+        halves: tuple[np.ndarray, np.ndarray],
+    ) -> Iterator[tuple[int, int]]:
+        """Searches and words of a leaf that may differ by one edit."""
+        step = max(PAIRS // (end - start), 1)
+        for place in range(0, len(asked), step):
+            part = asked[place : place + step]
+            change = self.numbers[None, start:end] - numbers[part][:, None]
+            searches, words = np.nonzero(LOOKS_LIKE[change >> np.uint64(48)])
+            searches, words = part[searches], words + start
+            close = np.logical_or(
+                *(own[words] == other[searches] for own, other in zip(self.halves, halves))
+            )
+            yield from zip(searches[close].tolist(), words[close].tolist())
+
+    def _verified(self, word: str, place: int, number: np.uint64) -> bool:
+        candidate = self.words[place]
+        change = int(self.numbers[place]) - int(number) & WORD64
+        if change in SWAPS:
+            return (change != 0 or candidate > word) and one_edit(word, candidate)
+        return change in DROPS and one_edit(word, candidate)
 
 
 def _key(length: int, counts: list[int]) -> str:
@@ -138,8 +203,9 @@ def _placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each word as stored in its cell, and its searches in all cells within the budgets."""
     for batch in batches:
         rows = []
-        for word, n in zip(batch["word"], batch["n"]):
-            head, length = counts_of(word)[: DEPTHS[0]], len(word)
+        heads = counts_of(batch["word"].tolist())[:, : DEPTHS[0]].tolist()
+        for word, n, head in zip(batch["word"], batch["n"], heads):
+            length = len(word)
             rows.append((_key(length, head), 0, STORED, SPENT, word, n))
             for other, left in prefixes(head, SWAP):
                 rows.append((_key(length, other), 0, SEARCH, left, word, n))
@@ -152,8 +218,10 @@ def _deeper(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of split cells, dealt by the next counts."""
     for batch in batches:
         rows = []
-        for key, depth, kind, state, word, n in batch.itertuples(index=False, name=None):
-            part = counts_of(word)[DEPTHS[depth] : DEPTHS[depth + 1]]
+        counts = counts_of(batch["word"].tolist()).tolist()
+        for row, count in zip(batch.itertuples(index=False, name=None), counts):
+            key, depth, kind, state, word, n = row
+            part = count[DEPTHS[depth] : DEPTHS[depth + 1]]
             tails = [(part, state)] if kind == STORED else prefixes(part, state)
             for tail, left in tails:
                 below = f"{key},{','.join(map(str, tail))}"
@@ -164,28 +232,55 @@ def _deeper(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _all_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for word in batch["word"]:
-            counts = counts_of(word)
+        for word, counts in zip(batch["word"], counts_of(batch["word"].tolist()).tolist()):
             for depth, levels in enumerate(DEPTHS):
                 rows.append((_key(len(word), counts[:levels]), depth))
         yield pd.DataFrame(rows, columns=["key", "depth"])
 
 
+class Cell:
+    """The stored words of one cell, and searches that wait for a walk."""
+
+    def __init__(self, depth: int):
+        self.level = DEPTHS[depth]
+        self.stored: list[tuple[str, int]] = []
+        self.asked: list[tuple[str, int]] = []
+        self.states: list[int] = []
+        self.trie: Trie | None = None
+
+    def walked(self) -> list[tuple[str, int, str, int]]:
+        if not self.asked or not self.stored:
+            return []
+        if self.trie is None:
+            self.trie = Trie([word for word, _ in self.stored], self.level)
+        words = [word for word, _ in self.asked]
+        pairs = self.trie.near(words, np.array(self.states))
+        found = [(*self.asked[search], *self.stored[place]) for search, place in pairs]
+        self.asked, self.states = [], []
+        return found
+
+
 def _searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Near pairs, each once; rows come cell by cell, stored words before searches."""
-    cell, words, trie = None, [], None
+    mark, cell = None, None
+    columns = ["word", "n", "near", "near_n"]
     for batch in batches:
         found = []
-        columns = ("key", "block", "depth", "kind", "state", "word", "n")
-        for key, block, depth, kind, state, word, n in zip(*(batch[c] for c in columns)):
-            if (key, block) != cell:
-                cell, words, trie = (key, block), [], None
+        names = ("key", "block", "depth", "kind", "state", "word", "n")
+        for key, block, depth, kind, state, word, n in zip(*(batch[c].tolist() for c in names)):
+            if (key, block) != mark:
+                found += cell.walked() if cell else []
+                mark, cell = (key, block), Cell(depth)
             if kind == STORED:
-                words.append((word, n))
-            elif words:
-                trie = trie or Trie(words, DEPTHS[depth])
-                found += [(word, n, *other) for other in trie.near(word, state)]
-        yield pd.DataFrame(found, columns=["word", "n", "near", "near_n"])
+                cell.stored.append((word, n))
+            elif cell.stored:
+                cell.asked.append((word, n))
+                cell.states.append(state)
+                if len(cell.asked) == TOGETHER:
+                    found += cell.walked()
+        yield pd.DataFrame(found, columns=columns)
+    if cell:
+        yield pd.DataFrame(cell.walked(), columns=columns)
 
 
 def near_pairs(words: DataFrame, limit: int = LIMIT) -> DataFrame:
