@@ -102,28 +102,31 @@ class MultiIndex:
         return [nearest_cells(a, b, count or self.probes) for a, b in zip(first, second)]
 
 
-def _placed(vectors: DataFrame, index) -> DataFrame:
-    """``row, label, unit, cells`` of vectors that can have links; the first cell is home."""
+def _placed(vectors: DataFrame, indexes) -> DataFrame:
+    """``row, label, width, unit, cells`` of vectors that can have links; the first cell is
+    home. Vectors of a width without an index share one cell."""
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             units = [unit(values) for values in batch["embedding"]]
-            width = sum(book.shape[1] for book in index.value.books)
-            good = [n for n, u in enumerate(units) if u is not None and len(u) == width]
-            if good:
-                cells = index.value.cells(np.stack([units[n] for n in good]))
+            widths = np.array([0 if u is None else len(u) for u in units])
+            for width in np.unique(widths[widths > 0]).tolist():
+                good = np.flatnonzero(widths == width)
+                index = indexes.value.get(width)
+                alike = np.stack([units[n] for n in good])
                 rows = batch.iloc[good]
                 yield pd.DataFrame(
                     {
                         "row": rows["row"].to_numpy(),
                         "label": rows["label"].to_numpy(),
-                        "unit": [units[n] for n in good],
-                        "cells": cells,
+                        "width": width,
+                        "unit": list(alike),
+                        "cells": index.cells(alike) if index else [[0]] * len(good),
                     }
                 )
 
     label = vectors.schema["label"].dataType.simpleString()
-    schema = f"row long, label {label}, unit array<double>, cells array<int>"
+    schema = f"row long, label {label}, width int, unit array<double>, cells array<int>"
     return vectors.where("label is not null").mapInPandas(place, schema)
 
 
@@ -133,7 +136,7 @@ def _compared(rows: DataFrame, similarity: float) -> DataFrame:
     A pair may meet in the home cells of both. The asking vector counts it; the stored one
     counts it only if it does not ask in the other's home itself.
     """
-    keys = ["label", "cell", "block", "part"]
+    keys = ["label", "width", "cell", "block", "part"]
 
     def links(block: pd.DataFrame) -> pd.DataFrame | None:
         asks = block["asks"].to_numpy()
@@ -180,10 +183,14 @@ def vector_links(
     """``vec_id, n_links, component_id, kept`` per row of ``vectors`` (vec_id, embedding, label).
 
     Rows of equal labels link where their cosine in double precision is ``similarity`` or
-    more. Null labels, and vectors that are null, zero, of another length than most or hold
-    null or non-finite components, link with nothing. Repeated rows are vectors of their own
-    that link with each other. A null vec_id links but is no component's id; such a row is
-    kept only where its component has none. Other columns are dropped.
+    more. Vectors of different lengths do not link. Null labels, and vectors that are null,
+    empty, zero or hold null or non-finite components, link with nothing. Repeated rows are
+    vectors of their own that link with each other. A null vec_id links but is no
+    component's id; such a row is kept only where its component has none. Other columns are
+    dropped, and an empty table gives no rows.
+
+    Codebooks are fitted for each length that is frequent among ``SAMPLE`` vectors drawn by
+    a hash; vectors of rare lengths are compared with all of their length and label.
     """
     numbered = stored(
         vectors.select("vec_id", "embedding", "label").withColumn(
@@ -191,41 +198,42 @@ def vector_links(
         )
     )
     drawn = (
-        numbered.where("label is not null and embedding is not null")
+        numbered.where("label is not null and exists(embedding, x -> x <> 0)")
         .orderBy(F.xxhash64("row", F.lit(SEED)), "row")
         .limit(SAMPLE)
     )
     units = [u for u in map(unit, drawn.select("embedding").toPandas()["embedding"]) if u is not None]
-    widths = [len(u) for u in units]
-    usual = max(set(widths), key=lambda w: (widths.count(w), w)) if widths else 0
-    sample = [u for u in units if len(u) == usual]
+    fitted: dict[int, list[np.ndarray]] = {}
+    for vector in units:
+        fitted.setdefault(len(vector), []).append(vector)
+    indexes = {
+        width: MultiIndex(np.stack(sample), similarity, recall)
+        for width, sample in fitted.items()
+        if width > 1 and len(sample) >= CENTROIDS
+    }
     ids = numbered.select("row", "vec_id")
-    if usual < 2:
-        alone = F.lit(0).cast("long").alias("n_links")
-        return ids.select("vec_id", alone, F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    index = MultiIndex(np.stack(sample), similarity, recall)
-    placed = stored(_placed(numbered, vectors.sparkSession.sparkContext.broadcast(index)))
-    have = placed.select("row", "label", F.get("cells", F.lit(0)).alias("cell"))
-    ask = placed.select("row", "label", F.explode("cells").alias("cell"))
+    placed = stored(_placed(numbered, vectors.sparkSession.sparkContext.broadcast(indexes)))
+    group = ["label", "width", "cell"]
+    have = placed.select("row", "label", "width", F.get("cells", F.lit(0)).alias("cell"))
+    ask = placed.select("row", "label", "width", F.explode("cells").alias("cell"))
     sizes = stored(
-        have.groupBy("label", "cell").agg(F.count("*").alias("have"))
-        .join(ask.groupBy("label", "cell").agg(F.count("*").alias("ask")), ["label", "cell"])
+        have.groupBy(*group).agg(F.count("*").alias("have"))
+        .join(ask.groupBy(*group).agg(F.count("*").alias("ask")), group)
         .where("ask > 1")
         .select(
-            "label",
-            "cell",
+            *group,
             F.ceil(F.col("have") / BLOCK).cast("int").alias("blocks"),
             F.ceil(F.col("ask") / BLOCK).cast("int").alias("parts"),
         )
     )
     spread = F.xxhash64("row", F.lit(SEED))
-    stored_rows = have.join(sizes, ["label", "cell"]).select(
-        "row", "label", "cell", F.lit(False).alias("asks"),
+    stored_rows = have.join(sizes, group).select(
+        "row", *group, F.lit(False).alias("asks"),
         F.pmod(spread, "blocks").cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
     )
-    asking_rows = ask.join(sizes, ["label", "cell"]).select(
-        "row", "label", "cell", F.lit(True).alias("asks"),
+    asking_rows = ask.join(sizes, group).select(
+        "row", *group, F.lit(True).alias("asks"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod(spread, "parts").cast("int").alias("part"),
     )
