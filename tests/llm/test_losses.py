@@ -7,9 +7,13 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from tripmart.llm.common import without
 from tripmart.llm.host_paths import best_path, main_texts, parse_page, text_below
+from tripmart.llm.mixing import mixed_documents
 from tripmart.llm.multi_index import vector_links
+from tripmart.llm.skip_chain import masked_documents
 
 VECTORS = "vec_id long, embedding array<double>, label int, row string, cell int, unit string"
 
@@ -100,3 +104,25 @@ def test_a_table_of_zeros_does_not_hide_links(spark):
     assert found[300] == (1, 300, True) and found[301] == (1, 300, False)
     assert sum(n for n, _, _ in found.values()) == 2
     assert vector_links(frame.limit(0)).count() == 0
+
+
+def test_further_columns_may_have_any_name(spark):
+    """The pipeline's stages keep them and give the same rows with and without them."""
+    clashing = "gone _id _size _epochs _extra _words _copy _masked plan words masked id size extra".split()
+    texts = ["one two three four " * 9, "write to a.b@example.org today please", "", None, "x " * 40]
+    rows = [(i, texts[i % 5], "en", f"s{i % 2}", len(texts[i % 5] or "")) for i in range(20)] + [(None, "no id here", "en", None, 10)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    wide = plain.select("*", *[F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias(n) for n in clashing])
+
+    def same(stage, compare=plain.columns):
+        one, two = stage(plain), stage(wide)
+        assert two.columns == wide.columns
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.select(*compare).collect()))
+        return two
+
+    gone = spark.createDataFrame([(3,), (None,)], "doc_id long")
+    assert same(lambda docs: without(docs, gone)).count() == 19
+    mixed = same(mixed_documents)
+    assert mixed.where("not (gone <=> concat('c', doc_id))").count() == 0
+    masked = same(masked_documents)
+    assert masked.where("text like '%example.org%'").count() == 0 and masked.count() == 21

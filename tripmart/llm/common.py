@@ -9,10 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-WHITE = " \t\n\u000b\f\r"
 FILTER_BITS = 1 << 22
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``.
 
@@ -127,9 +134,10 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     The bit table passes most rows on as they are; only the others are shuffled for the
     exact join.
     """
-    ids = stored(gone.select(F.col("doc_id").alias("gone")).distinct())
+    name = fresh("gone", docs)
+    ids = stored(gone.select(F.col("doc_id").alias(name)).distinct())
     suspect = maybe_in(F.col("doc_id"), ids)
-    checked = docs.where(suspect).join(ids, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    checked = docs.where(suspect).join(ids, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
     return docs.where(~suspect).unionByName(checked)
 
 

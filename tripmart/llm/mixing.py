@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import WORD, stored
+from tripmart.llm.common import WORD, fresh, stored
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -238,25 +238,28 @@ def mixed_documents(
     """The mixture itself: a row of ``docs`` for each repetition of a document.
 
     A partial repetition holds the first words only, and ``n_chars`` follows its text.
-    Documents that take nothing are gone. Rows with the same ``doc_id`` share one number
-    of repetitions, the sum over them spread evenly, so the key should be unique.
+    Documents that take nothing are gone. Rows with the same ``doc_id`` each get the most
+    that one of them is to have, so they may take more than their source's target: ids
+    should be unique. Further columns of any name are kept.
     """
     taken = mixture(docs, weights, share, max_epochs, seed)
-    plan = taken.groupBy("doc_id").agg(
-        F.max("epochs").alias("_epochs"), F.max("extra").alias("_extra"), F.max("size").alias("_size")
+    name, words = fresh("plan", docs), fresh("words", docs)
+    # One column that no column of docs is called holds all that is planned.
+    plan = taken.groupBy(F.col("doc_id").alias("id")).agg(
+        F.max("epochs").alias("epochs"), F.max("extra").alias("extra"), F.max("size").alias("size")
     )
-    chosen = docs.join(
-        plan.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))
-    ).where("_size > 0 and _epochs + _extra > 0")
-    copies = F.concat(
-        F.array_repeat(F.col("_size"), F.col("_epochs").cast("int")),
-        F.when(F.col("_extra") > 0, F.array("_extra")).otherwise(F.array().cast("array<long>")),
+    plan = plan.select(F.struct("*").alias(name)).where(
+        (F.col(name)["size"] > 0) & (F.col(name)["epochs"] + F.col(name)["extra"] > 0)
     )
-    each = chosen.withColumn("_copy", copies).select(
-        *docs.columns, "_size", F.explode_outer("_copy").alias("_words")
+    epochs, extra, size = (F.col(name)[field] for field in ("epochs", "extra", "size"))
+    chosen = docs.join(plan, F.col("doc_id").eqNullSafe(F.col(name)["id"]))
+    copies = F.concat(
+        F.array_repeat(size, epochs.cast("int")),
+        F.when(extra > 0, F.array(extra)).otherwise(F.array().cast("array<long>")),
     )
-    cut = F.col("_words") < F.col("_size")
-    text = F.when(cut, first_words(F.col("text"), F.col("_words"))).otherwise(F.col("text"))
+    each = chosen.select(*docs.columns, name, F.explode_outer(copies).alias(words))
+    cut = F.col(words) < size
+    text = F.when(cut, first_words(F.col("text"), F.col(words))).otherwise(F.col("text"))
     result = each.withColumn("text", text)
     if "n_chars" in docs.columns:
         result = result.withColumn(

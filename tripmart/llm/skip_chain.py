@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.llm.common import fresh
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
 # Bounds of the fitting sample: documents on average, and tokens.
@@ -377,9 +379,10 @@ def masked_documents(docs: DataFrame) -> DataFrame:
         pairs = zip(texts, found)
         return pd.Series([t if t is None else masked(t, base + added) for t, (base, added) in pairs])
 
-    clean = docs.withColumn("_masked", mask("text"))
+    name = fresh("masked", docs)
+    clean = docs.withColumn(name, mask("text"))
     if "n_chars" in docs.columns:
-        changed = ~F.col("_masked").eqNullSafe(F.col("text"))
-        length = F.when(changed, F.length("_masked").cast("long")).otherwise(F.col("n_chars"))
+        changed = ~F.col(name).eqNullSafe(F.col("text"))
+        length = F.when(changed, F.length(name).cast("long")).otherwise(F.col("n_chars"))
         clean = clean.withColumn("n_chars", length)
-    return clean.withColumn("text", F.col("_masked")).select(*docs.columns)
+    return clean.withColumn("text", F.col(name)).select(*docs.columns)
