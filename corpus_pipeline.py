@@ -1,8 +1,10 @@
 """A corpus from raw documents: filtered, deduplicated, cleaned, mixed and encoded.
 
 Each stage works on what its predecessor kept, read back from Parquet. All but the last
-return the columns of ``documents``. Rows with one doc_id share every verdict, so ids
-should be unique; null ids and texts, empty tables and further columns are fine.
+return the columns of ``documents``. Every stage decides on each row by itself: rows that
+share a doc_id, or have none, are documents like others (labels hold for all rows of an
+id). A null or empty text fails the quality rules; an empty table gives an empty one;
+further columns are kept, whatever their names, and long texts are read whole.
 """
 
 from __future__ import annotations
@@ -11,10 +13,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.chosen_path import near_duplicates
-from tripmart.llm.common import small_batches, stored, without
+from tripmart.llm.chosen_path import one_of_each
+from tripmart.llm.common import small_batches, stored
 from tripmart.llm.mixing import mixed_documents
-from tripmart.llm.quality import quality_verdicts
+from tripmart.llm.quality import good_documents
 from tripmart.llm.rank_bpe import encode_documents
 from tripmart.llm.skip_chain import masked_documents
 
@@ -24,14 +26,13 @@ VOCABULARY = "word_bpe_49k.json"
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules; trusted are those labelled of good quality."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    verdicts = quality_verdicts(docs, labels.where(F.col("quality") == 1))
-    return without(docs, verdicts.where("not kept"))
+    return good_documents(docs, labels.where(F.col("quality") == 1))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words, 80 percent."""
     small_batches(spark)
-    return without(docs, near_duplicates(docs, size=5, percent=80).where("not kept"))
+    return one_of_each(docs, size=5, percent=80)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

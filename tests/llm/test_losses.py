@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
+import resource
+import struct
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
+from tripmart.llm.chosen_path import one_of_each
 from tripmart.llm.common import without
 from tripmart.llm.host_paths import best_path, main_texts, parse_page, text_below
 from tripmart.llm.mixing import mixed_documents
 from tripmart.llm.multi_index import vector_links
-from tripmart.llm.skip_chain import masked_documents
+from tripmart.llm.quality import BUCKETS, good_documents, quality_verdicts
+from tripmart.llm.skip_chain import base_spans, masked_documents
 
 VECTORS = "vec_id long, embedding array<double>, label int, row string, cell int, unit string"
 
@@ -126,3 +134,74 @@ def test_further_columns_may_have_any_name(spark):
     assert mixed.where("not (gone <=> concat('c', doc_id))").count() == 0
     masked = same(masked_documents)
     assert masked.where("text like '%example.org%'").count() == 0 and masked.count() == 21
+
+
+def test_mixed_rows_without_ids_reach_the_target(spark):
+    rows = [(i % 7 if i % 3 else None, f"{'word ' * (3 + i % 5)}{i}", f"s{i % 2}", i) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, row long")
+    sizes = {s: sum(len(t.split()) for _, t, source, _ in rows if source == s) for s in ("s0", "s1")}
+    total = 1.5 * sum(sizes.values())
+    # Weights 3 and 1; a source above twice its size is clamped and the other gets the rest.
+    first = min(2 * sizes["s0"], 0.75 * total)
+    want = {"s0": first, "s1": min(2 * sizes["s1"], total - first)}
+    got = {"s0": 0, "s1": 0}
+    mixed = mixed_documents(frame)
+    assert mixed.columns == frame.columns
+    for r in mixed.collect():
+        got[r.source] += len(r.text.split())
+    assert all(abs(got[s] - want[s]) <= 1 for s in got)
+
+
+def test_one_of_each_group_stays_whatever_the_ids(spark):
+    same, other = "a b c d e f g h i j k l", "m n o p q r s t u v w x"
+    rows = [(None, same), (5, same), (5, same), (5, other), (7, other), (7, "z " + other), (7, None), (None, ""), (None, "alone here"), (9, "")]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row int")
+    kept = sorted((r.row, r.doc_id, r.text) for r in one_of_each(frame, 5, 80).collect())
+    assert [(i, *rows[i]) for i, _, _ in kept] == kept
+    numbers = [i for i, _, _ in kept]
+    assert len({1, 2} & set(numbers)) == 1 and not {0, 4, 5} & set(numbers)
+    assert {3, 6, 7, 8, 9} <= set(numbers) and len(numbers) == 6
+    assert one_of_each(frame.limit(0)).count() == 0
+
+
+def test_quality_judges_each_row_and_scores_by_the_ratio(spark):
+    """The score against plain counting; rows with one id or none are judged by their texts."""
+    draw = random.Random(3)
+    good = [" ".join(draw.choice("river stone cloud meadow lantern harbour".split()) + str(draw.randrange(40)) for _ in range(40)) for _ in range(30)]
+    junk = [" ".join(draw.choice("win cash now click".split()) + f"!{draw.randrange(40)}" for _ in range(40)) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(good)] + [(100 + i, t) for i, t in enumerate(junk)]
+    rows += [(100, good[0] + " extra"), (None, good[1]), (None, junk[1]), (None, None), (3, "")]
+    frame = spark.createDataFrame([(*r, "x", 0) for r in rows], "doc_id long, text string, doc string, verdict int")
+    trusted = spark.createDataFrame([(i,) for i in range(20)], "doc_id long")
+
+    def low(data: bytes, seed: int = 42) -> int:
+        return xxhash.xxh64_intdigest(data, seed)
+
+    def grams(text: str) -> list[int]:
+        tokens = [low(t.encode()) % BUCKETS for t in re.findall(r"\w+|[^\w\x20\x09-\x0D]+", text or "")]
+        pairs = [low(struct.pack("<i", b), low(struct.pack("<i", a))) % BUCKETS for a, b in zip(tokens, tokens[1:])]
+        return tokens + pairs
+
+    raw, target = Counter(), Counter()
+    for doc_id, text in rows:
+        raw.update(grams(text))
+        target.update(grams(text) if doc_id in range(20) else [])
+    scale = math.log((raw.total() + BUCKETS) / (target.total() + BUCKETS))
+    ratio = [math.log((target[b] + 1) / (raw[b] + 1)) + scale for b in range(BUCKETS)]
+    scores = [sum(ratio[b] for b in g) / len(g) if (g := grams(t)) else 0.0 for _, t in rows]
+    got = sorted((r.doc_id or -1, r.score, r.kept) for r in quality_verdicts(frame, trusted, min_score=0.0).collect())
+    few = [len((t or "").split()) < 10 for _, t in rows]
+    want = sorted((i or -1, s, s >= 0 and not f) for (i, _), s, f in zip(rows, scores, few))
+    assert [g[0] for g in got] == [w[0] for w in want] and [g[2] for g in got] == [w[2] for w in want]
+    assert np.allclose([g[1] for g in got], [w[1] for w in want], rtol=0, atol=1e-9)
+    left = sorted(str((r.doc_id, r.text)) for r in good_documents(frame, trusted, min_score=0.0).collect())
+    assert left == sorted(str(r) for r, s, f in zip(rows, scores, few) if s >= 0 and not f)
+    assert 0 < len(left) < 60 and good_documents(frame, trusted).columns == frame.columns
+
+
+def test_ten_million_digits_are_no_card():
+    start = time.perf_counter()
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert base_spans("1 " * 5_000_000 + "x 4111 1111 1111 1111") == [("card", 10_000_002, 10_000_021)]
+    assert time.perf_counter() - start < 60
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000

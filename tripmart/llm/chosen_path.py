@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import components, maybe_in, stored
+from tripmart.llm.common import components, maybe_in, numbered, stored, without
 
 COORDINATES = 64
 BRANCHES = 2
@@ -83,10 +83,11 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return least.astype(np.uint32).view(np.int32)
 
 
-def text_prints(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, cid, signature`` per row; cid, a digest of the set, is null
+def text_prints(docs: DataFrame, size: int, *keep: str) -> DataFrame:
+    """``doc_id, keep, n_shingles, cid, signature`` per row; cid, a digest of the set, is null
     for an empty set."""
-    doc_id = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", *keep]
+    kinds = ", ".join(f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in names)
 
     def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -99,11 +100,12 @@ def text_prints(docs: DataFrame, size: int) -> DataFrame:
                 else:
                     rows.append((0, None, None))
             out = pd.DataFrame(rows, columns=["n_shingles", "cid", "signature"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            for place, name in enumerate(names):
+                out.insert(place, name, batch[name].to_numpy())
             yield out
 
-    schema = f"doc_id {doc_id}, n_shingles long, cid binary, signature array<int>"
-    return docs.select("doc_id", "text").mapInPandas(prints, schema)
+    schema = f"{kinds}, n_shingles long, cid binary, signature array<int>"
+    return docs.select(*names, "text").mapInPandas(prints, schema)
 
 
 def _full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -378,17 +380,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
 # --- the operator -----------------------------------------------------------------
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``.
-
-    Rows are linked where 100 * intersection >= percent * union of their sets of ``size``-word
-    shingles; component_id is the smallest doc_id reachable, and the rows with that id stay.
-    A null or empty text has no shingles and is linked with nothing: its component is its
-    own id. A null doc_id takes part in links but is no component's id: such a row is kept
-    only if nothing in its component has an id (component_id is then null). Repeated rows
-    are one class; rows that share the smallest id all stay. Other columns are dropped.
-    """
-    prints = stored(text_prints(docs, size))
+def _placed(prints: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``cid, min_id, root`` per class of equal sets: classes that links connect have one
+    root, min_id is the smallest doc_id of the class."""
     classes = stored(
         prints.where("cid is not null")
         .groupBy("cid")
@@ -409,11 +403,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sets = _sets_of(blocks.select("cid"), docs, classes, size)
     links = links.union(_full_links(blocks, sets, percent))
     roots = stored(components(links)).withColumnRenamed("node", "cid")
-    placed = stored(
+    return stored(
         classes.select("cid", "min_id").join(roots, "cid", "left").select(
             "cid", "min_id", F.coalesce("root", "cid").alias("root")
         )
     )
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row of ``docs``.
+
+    Rows are linked where 100 * intersection >= percent * union of their sets of ``size``-word
+    shingles; component_id is the smallest doc_id reachable, and the rows with that id stay.
+    A null or empty text has no shingles and is linked with nothing: its component is its
+    own id. A null doc_id takes part in links but is no component's id: such a row is kept
+    only if nothing in its component has an id (component_id is then null). Repeated rows
+    are one class; rows that share the smallest id all stay. Other columns are dropped.
+    """
+    prints = stored(text_prints(docs, size))
+    placed = _placed(prints, docs, size, percent)
     least = placed.groupBy("root").agg(F.min("min_id").alias("component_id"))
     named = placed.join(least, "root").select("cid", "component_id")
     joined = prints.select("doc_id", "n_shingles", "cid").join(named, "cid", "left")
@@ -424,3 +432,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component of ``near_duplicates``, whatever its rows' ids.
+
+    That with the smallest doc_id stays, null ids last, and the first of those that share
+    it. Rows without words stay, as they are linked with nothing. All columns stay.
+    """
+    docs, row = numbered(docs)
+    prints = stored(text_prints(docs, size, row))
+    placed = _placed(prints, docs, size, percent)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row))
+    first = prints.where("cid is not null").groupBy("cid").agg(F.min(order).alias("first"))
+    first = first.join(placed.select("cid", "root"), "cid")
+    best = first.groupBy("root").agg(F.min("first").alias("best"))
+    chosen = first.join(best, "root").select("cid", F.col("best")[row].alias("best"))
+    gone = prints.select("cid", row).join(chosen, "cid").where(F.col(row) != F.col("best"))
+    return without(docs, gone, row).drop(row)

@@ -45,6 +45,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a number of its own for each row, and the name of that column.
+
+    Stored, since a row's number depends on how the files are dealt to tasks.
+    """
+    name = fresh("row", df)
+    return stored(df.withColumn(name, F.monotonically_increasing_id())), name
+
+
 def words_of(text: Column) -> Column:
     """Words of a text, none for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
@@ -128,16 +137,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", "m")).toDF("u", "v")
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is among those of ``gone``, null like any other.
+def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose ``key`` is among those of ``gone``, null like any other.
 
     The bit table passes most rows on as they are; only the others are shuffled for the
     exact join.
     """
     name = fresh("gone", docs)
-    ids = stored(gone.select(F.col("doc_id").alias(name)).distinct())
-    suspect = maybe_in(F.col("doc_id"), ids)
-    checked = docs.where(suspect).join(ids, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    keys = stored(gone.select(F.col(key).alias(name)).distinct())
+    suspect = maybe_in(F.col(key), keys)
+    checked = docs.where(suspect).join(keys, F.col(key).eqNullSafe(F.col(name)), "left_anti")
     return docs.where(~suspect).unionByName(checked)
 
 

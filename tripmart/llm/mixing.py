@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import WORD, fresh, stored
+from tripmart.llm.common import WORD, fresh, numbered, stored
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -159,21 +159,36 @@ def mixture(
     Sources in code point order (null is a source, the last) get the ``weights`` in turn
     and share ``share`` of all words, at most ``max_epochs`` times their own. Every
     document is taken ``epochs`` whole times, the floor of target by size, and documents
-    in the order of a seeded hash of ``doc_id`` once more until the rest is spent, the
+    in the order of a seeded hash of ``doc_id`` and ``text`` once more until the rest is spent, the
     last of them for its first ``extra`` words only. So a source's taken words are its
     target, rounded, and no document exceeds the next whole number of epochs.
 
     Null and empty texts have size 0 and take nothing. A null ``doc_id`` is an id like
     others; repeated rows are taken independently, in the order they stand when hashes tie.
-    Other columns are dropped. An empty table gives none.
+    Other columns are dropped. An empty table gives none. A long text is counted in its row.
     """
+    return _mixture(docs, F.monotonically_increasing_id(), weights, share, max_epochs, seed).drop(
+        "row"
+    )
+
+
+def _mixture(
+    docs: DataFrame,
+    row: Column,
+    weights: Sequence[float],
+    share: float,
+    max_epochs: float,
+    seed: int,
+) -> DataFrame:
+    """``mixture`` with ``row``, a number of its own for each row."""
     sized = stored(
         docs.select(
             "doc_id",
             "source",
             word_count(F.col("text")).alias("size"),
-            F.xxhash64(F.lit(seed), "doc_id").alias("h"),
-        ).withColumn("row", F.monotonically_increasing_id())
+            F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"),
+            row.alias("row"),
+        )
     )
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     turn = F.col("rank") % F.lit(len(weights))
@@ -219,6 +234,7 @@ def mixture(
         "source",
         "epochs",
         "extra",
+        "row",
     )
 
 
@@ -238,31 +254,28 @@ def mixed_documents(
     """The mixture itself: a row of ``docs`` for each repetition of a document.
 
     A partial repetition holds the first words only, and ``n_chars`` follows its text.
-    Documents that take nothing are gone. Rows with the same ``doc_id`` each get the most
-    that one of them is to have, so they may take more than their source's target: ids
-    should be unique. Further columns of any name are kept.
+    Documents that take nothing are gone. Rows with the same ``doc_id`` or without one are
+    documents each, so what a source's rows take is its target whatever their ids.
+    Further columns of any name are kept.
     """
-    taken = mixture(docs, weights, share, max_epochs, seed)
+    given = docs.columns
+    docs, row = numbered(docs)
+    taken = _mixture(docs, F.col(row), weights, share, max_epochs, seed)
     name, words = fresh("plan", docs), fresh("words", docs)
     # One column that no column of docs is called holds all that is planned.
-    plan = taken.groupBy(F.col("doc_id").alias("id")).agg(
-        F.max("epochs").alias("epochs"), F.max("extra").alias("extra"), F.max("size").alias("size")
-    )
-    plan = plan.select(F.struct("*").alias(name)).where(
-        (F.col(name)["size"] > 0) & (F.col(name)["epochs"] + F.col(name)["extra"] > 0)
-    )
+    plan = taken.where("taken > 0").select(F.struct("row", "epochs", "extra", "size").alias(name))
     epochs, extra, size = (F.col(name)[field] for field in ("epochs", "extra", "size"))
-    chosen = docs.join(plan, F.col("doc_id").eqNullSafe(F.col(name)["id"]))
+    chosen = docs.join(plan, F.col(row) == F.col(name)["row"])
     copies = F.concat(
         F.array_repeat(size, epochs.cast("int")),
         F.when(extra > 0, F.array(extra)).otherwise(F.array().cast("array<long>")),
     )
-    each = chosen.select(*docs.columns, name, F.explode_outer(copies).alias(words))
+    each = chosen.select(*given, name, F.explode_outer(copies).alias(words))
     cut = F.col(words) < size
     text = F.when(cut, first_words(F.col("text"), F.col(words))).otherwise(F.col("text"))
     result = each.withColumn("text", text)
-    if "n_chars" in docs.columns:
+    if "n_chars" in given:
         result = result.withColumn(
             "n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))
         )
-    return result.select(*docs.columns)
+    return result.select(*given)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import maybe_in, words_of
+from tripmart.llm.common import dense_array, maybe_in, words_of
 
 # Runs of letters, digits and "_", or runs of anything else but white space.
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\x20\x09-\x0D]+"
@@ -20,11 +20,11 @@ MAX_REPEAT_PERCENT = 20
 BUCKETS = 1 << 14
 # Mean log-likelihood ratio per n-gram under which a text is rejected.
 MIN_SCORE = -0.5
+FACTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
-
-def base_rules(docs: DataFrame) -> DataFrame:
-    """``doc_id`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` (long)
+def base_rules(docs: DataFrame, keep: str = "doc_id") -> DataFrame:
+    """``keep`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` (long)
     and ``base_failed``, plus ``text`` (null as empty).
 
     A null or empty text has no words, so it fails. Rows are measured one by one:
@@ -33,11 +33,11 @@ def base_rules(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    parts = docs.select("doc_id", text.alias("text")).select(
-        "doc_id", "text", words_of(F.col("text")).alias("words"), lines.alias("lines")
+    parts = docs.select(keep, text.alias("text")).select(
+        keep, "text", words_of(F.col("text")).alias("words"), lines.alias("lines")
     )
     measured = parts.select(
-        "doc_id",
+        keep,
         "text",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
@@ -136,6 +136,33 @@ def ngram_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -
     return filled.select("slot", ratio.alias("value"))
 
 
+def _judged(
+    docs: DataFrame, keep: str, weights: DataFrame, buckets: int, min_score: float
+) -> DataFrame:
+    """``keep`` and ``verdict``, a struct of ``FACTS``, ``score`` and ``kept``, per row.
+
+    The weights are a scalar, as long as ``buckets``, that every row looks its own n-grams
+    up in: no row is split or shuffled.
+    """
+    ruled = base_rules(docs, keep)
+    hashed = _hashed_tokens(ruled, keep, *FACTS, buckets=buckets)
+    n_tokens = F.size("hashes")
+    counted = hashed.withColumn("n_grams", n_tokens + F.greatest(n_tokens - 1, F.lit(0)))
+    grams = _grams(counted, keep, *FACTS, "n_grams", buckets=buckets)
+    table = dense_array(weights, buckets, F.lit(0.0))
+    # One use of "grams" and one of "weights": the optimizer then makes one step of all,
+    # which looks into the table itself instead of copying it into every row.
+    total = F.aggregate(
+        "grams", F.lit(0.0), lambda acc, slot: acc + F.get(F.col("weights"), slot.cast("int"))
+    )
+    score = F.when(F.col("n_grams") > 0, total / F.col("n_grams")).otherwise(F.lit(0.0))
+    scored = grams.withColumn("weights", table).select(keep, *FACTS, score.alias("score"))
+    kept = ~F.col("base_failed") & (F.col("score") >= min_score)
+    verdict = F.struct(*FACTS, "score", kept.alias("kept"))
+    # The explode keeps filters on the verdict from being computed a second time below it.
+    return scored.select(keep, F.explode_outer(F.array(verdict)).alias("verdict"))
+
+
 def quality_verdicts(
     docs: DataFrame,
     trusted: DataFrame,
@@ -147,30 +174,23 @@ def quality_verdicts(
     ``score`` is the log-likelihood ratio of trusted to all texts divided by the number of
     n-grams, 0 for a text without any. A document stays if no base rule fails and its score
     is at least ``min_score``; the threshold is one number for every document. Without
-    trusted documents all scores come from all texts against even shares.
+    trusted documents all scores come from all texts against even shares. Every row is
+    judged by its own text, whatever its id and however long it is; other columns are
+    dropped. An empty table gives none.
     """
-    # One row per bucket: as large as the parameter says, whatever the corpus.
-    weights = F.broadcast(ngram_weights(docs, trusted, buckets))
-    facts = [
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-    ]
-    ruled = base_rules(docs).withColumn("row", F.monotonically_increasing_id())
-    hashed = _hashed_tokens(ruled, "row", *facts, buckets=buckets)
-    grams = _grams(hashed, "row", *facts, buckets=buckets).select("row", *facts, F.explode_outer("grams").alias("slot"))
-    # A row's n-grams stay in one task, so the partial sums shuffle one row per document.
-    scored = (
-        grams.join(weights, "slot", "left")
-        .groupBy("row")
-        .agg(
-            *[F.first(name).alias(name) for name in facts],
-            F.coalesce(F.avg("value"), F.lit(0.0)).alias("score"),
-        )
-        .drop("row")
-    )
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= min_score))
+    weights = ngram_weights(docs, trusted, buckets)
+    return _judged(docs, "doc_id", weights, buckets, min_score).select("doc_id", "verdict.*")
+
+
+def good_documents(
+    docs: DataFrame,
+    trusted: DataFrame,
+    buckets: int = BUCKETS,
+    min_score: float = MIN_SCORE,
+) -> DataFrame:
+    """The rows of ``docs`` that ``quality_verdicts`` keeps, each judged for itself, so rows
+    with one id or without an id may differ. All columns stay, whatever their names."""
+    weights = ngram_weights(docs, trusted, buckets)
+    whole = docs.select("text", F.struct("*").alias("doc"))
+    judged = _judged(whole, "doc", weights, buckets, min_score)
+    return judged.where("verdict.kept").select("doc.*")

@@ -37,7 +37,7 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 # A match starts where a run of digits does: the run's rest would go on the same way.
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WHITE = re.compile(r"[\x20\x09-\x0D]")
 DIGIT_OR_AT = re.compile("[0-9@]")
