@@ -80,11 +80,10 @@ def bronze_trips(
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     suppliers = table(spark, sf_dir, "supplier")
-    joined = (
-        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .join(customers, orders["o_custkey"] == customers["c_custkey"])
-        .join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"])
-    )
+    # Lines meet their orders last, so that no shuffle carries the columns of both.
+    supplied = lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"])
+    ordered = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+    joined = supplied.join(ordered, lines["l_orderkey"] == orders["o_orderkey"])
     return joined.select(
         *[
             F.expr(text).alias(f"{prefix}{name}" if name.endswith("_datetime") else name)

@@ -121,6 +121,11 @@ def _month_of(trips: DataFrame, month: int) -> DataFrame:
     return trips.where(first if month == MONTHS[0] else ~first)
 
 
+def _landed(trips: DataFrame, paths: LakePaths) -> DataFrame:
+    """The trips stored once, so that the runs of the months do not join them again."""
+    return overwrite(trips, f"{paths.root}/trips")
+
+
 def silver_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip files of both services landed, made silver by the job, and read."""
     paths = LakePaths(scratch_folder(spark))
@@ -134,7 +139,7 @@ def silver_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table after two months and a second run of the last."""
     paths = LakePaths(scratch_folder(spark))
-    trips = fixtures.trips(spark, sf_dir)
+    trips = _landed(fixtures.trips(spark, sf_dir), paths)
     lookup = fixtures.zone_lookup(spark, sf_dir)
     for month in MONTHS:
         overwrite(_month_of(trips, month), paths.silver(YEAR, month))
@@ -147,10 +152,11 @@ def gold_catalog_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each month's trips, read through the catalog by its partition."""
     paths = LakePaths(scratch_folder(spark))
     table = f"fact_trips_{uuid4().hex}"
-    trips = fixtures.trips(spark, sf_dir)
+    trips = _landed(fixtures.trips(spark, sf_dir), paths)
+    lookup = fixtures.zone_lookup(spark, sf_dir)
     dims = facts.StarDims(
         date=None,
-        location=dimensions.dim_location(fixtures.zone_lookup(spark, sf_dir)),
+        location=overwrite(dimensions.dim_location(lookup), paths.gold("dim_location")),
         customer=dimensions.dim_customer(trips),
         vendor=dimensions.dim_vendor(spark),
         ratecode=dimensions.dim_ratecode(spark),
@@ -170,10 +176,12 @@ def gold_catalog_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_dates_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates appended month by month, the last one twice."""
-    path = LakePaths(scratch_folder(spark)).gold("dim_date")
-    trips = fixtures.trips(spark, sf_dir)
+    paths = LakePaths(scratch_folder(spark))
+    times = fixtures.trips(spark, sf_dir).select("pickup_datetime", "dropoff_datetime")
+    trips = _landed(times, paths)
     for month in (*MONTHS, MONTHS[-1]):
-        dates = append_new(dimensions.dim_date(_month_of(trips, month)), path, "date")
+        days = dimensions.dim_date(_month_of(trips, month))
+        dates = append_new(days, paths.gold("dim_date"), "date")
     return dates
 
 
@@ -183,7 +191,8 @@ def gold_customers_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     The second month spells all names in another way; known ones stay.
     """
     paths = LakePaths(scratch_folder(spark))
-    trips = fixtures.trips(spark, sf_dir)
+    riders = fixtures.trips(spark, sf_dir).select("pickup_datetime", "phonenumber", "full_name")
+    trips = _landed(riders, paths)
     first, last = (_month_of(trips, month) for month in MONTHS)
     store_customers(spark, paths, first)
     later = last.withColumn("full_name", F.concat(F.lit("Later "), "full_name"))
