@@ -86,3 +86,12 @@ def test_months_do_not_join_the_trips_again(spark, tables, monkeypatch):
     assert read["gold_dates_appended"].count() == 4
     names = {r["phonenumber"]: r["full_name"] for r in read["gold_customers_read"].collect()}
     assert names == {"10": "Ann", "11": "Later Ben"}
+
+
+def test_no_join_to_a_dimension_moves_the_trips(spark, tables):
+    """The dates too, though Spark takes those derived from trips for large ones."""
+    star = driver.queries()["fact_star_salted"](spark, tables)
+    plan = plan_of(star)
+    assert "SortMergeJoin" not in plan
+    assert not [part for part in plan.split("\n\n") if "hashpartitioning" in part and "l_tax" in part]
+    assert stored_keys(star) == Counter({ANN: 1, ANN_UNKNOWN: 1, BEN: 2})

@@ -36,17 +36,20 @@ def fact_trips(
     """Left star join; an id missing from its dimension gives a NULL key, the row stays.
 
     Only the key of each dimension is joined, so no dimension text travels. Literal
-    dimensions are broadcast, their rows being written in this package. Dates and
-    locations go by Spark's size estimate: with stored ones the star is one map-only
-    stage. ``shuffled`` asks for shuffled joins of these two, whose hot keys adaptive
-    execution splits.
+    dimensions are broadcast, their rows being written in this package, and so are
+    dates, a calendar's days: Spark's estimate of dates that are yet to be derived from
+    trips is that of the trips. Locations go by Spark's size estimate: with stored ones
+    the star is one map-only stage. ``shuffled`` asks for shuffled joins of dates and
+    locations, each of which moves all trips; adaptive execution splits their hot keys.
     """
 
-    def sized(frame: DataFrame) -> DataFrame:
-        return frame.hint("merge") if shuffled else frame
-
     def location(role: str) -> DataFrame:
-        return sized(dims.location.select(F.col("location_id").alias(role)))
+        ids = dims.location.select(F.col("location_id").alias(role))
+        return ids.hint("merge") if shuffled else ids
+
+    def days(role: str) -> DataFrame:
+        dates = dims.date.select(F.col("date").alias(role))
+        return dates.hint("merge") if shuffled else F.broadcast(dates)
 
     # Distinct keys let the optimizer drop the join where the key is not used; one
     # partition, so that this takes no exchange.
@@ -73,10 +76,7 @@ def fact_trips(
     if dims.date is None:
         keyed = keyed.withColumns(dates)
     else:
-        roles += [
-            (sized(dims.date.select(F.col("date").alias(role))), day, role)
-            for role, day in dates.items()
-        ]
+        roles += [(days(role), day, role) for role, day in dates.items()]
     for lookup, value, lookup_key in roles:
         keyed = keyed.join(lookup, value == F.col(lookup_key), "left")
 
